@@ -89,22 +89,22 @@ def attach_counts(prs: DataFrame, counts: DataFrame) -> DataFrame:
 
 def nested_facts(enriched: DataFrame) -> DataFrame:
     """The same facts from the arrays of a nested row, plus the flat gate inputs."""
-    count = lambda arr, cond: F.size(F.filter(arr, cond)).cast("long")
-    safe = lambda name: F.coalesce(F.col(name), F.array())
-    columns: list[Column] = []
-    groups = [
-        ("files", lambda x: _file_flags(x["filename"], x["patch"])),
-        ("reviews", lambda x: _review_flags(x["state"])),
-        ("review_comments", lambda x: _comment_flags(x["body"])),
-        ("pr_comments", lambda x: {"discussion_count": F.lit(True)}),
-    ]
+    groups = {
+        "files": lambda x: _file_flags(x["filename"], x["patch"]),
+        "reviews": lambda x: _review_flags(x["state"]),
+        "review_comments": lambda x: _comment_flags(x["body"]),
+        "pr_comments": lambda x: {"discussion_count": F.lit(True)},
+    }
+
+    def count(array: str, name: str) -> Column:
+        matching = F.filter(F.coalesce(F.col(array), F.array()), lambda x: groups[array](x)[name])
+        return F.size(matching).cast("long").alias(name)
+
     names = {
         "files": FACT_COLUMNS[0:7], "reviews": FACT_COLUMNS[7:13],
         "review_comments": FACT_COLUMNS[13:15], "pr_comments": FACT_COLUMNS[15:16],
     }
-    for array, flags in groups:
-        for name in names[array]:
-            columns.append(count(safe(array), lambda x, n=name, f=flags: f(x)[n]).alias(name))
+    columns = [count(array, name) for array, wanted in names.items() for name in wanted]
     return enriched.select("*", *columns, *gate_inputs("pr."))
 
 

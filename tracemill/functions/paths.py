@@ -47,24 +47,34 @@ def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def _last_extension(name: Column) -> Column:
+    return F.when(name.contains("."), F.concat(F.lit("."), F.substring_index(name, ".", -1))).when(
+        name.isNotNull(), ""
+    )
+
+
 def file_ext(path: Column) -> Column:
     """Lower-cased extension of the last path part; leading dots do not start one."""
-    return F.lower(F.regexp_extract(base_name(path), r"(?s)^\.*[^.].*(\.[^.]*)$", 1))
+    return F.lower(_last_extension(F.ltrim(base_name(path), F.lit("."))))
 
 
 def path_suffix(path: Column) -> Column:
     """Lower-cased final suffix, ``[none]`` when there is none or it is a lone dot."""
-    ext = file_ext(F.regexp_replace(F.coalesce(path, F.lit("")), "/+$", ""))
+    ext = file_ext(F.rtrim(F.coalesce(path, F.lit("")), F.lit("/")))
     return F.when(F.length(ext) > 1, ext).otherwise(F.lit("[none]"))
 
 
 def tail_extension(path: Column) -> Column:
     """Text after the last dot of the whole path with its dot, case kept, or empty."""
-    return F.regexp_extract(F.coalesce(path, F.lit("")), r"(?s)(\.[^.]*)$", 1)
+    return _last_extension(F.coalesce(path, F.lit("")))
+
+
+def is_doc(ext: Column, path: Column) -> Column:
+    return ext.isin(DOC_EXTENSIONS) | _contains_any(F.lower(path), DOC_FRAGMENTS)
 
 
 def is_doc_file(path: Column) -> Column:
-    return file_ext(path).isin(DOC_EXTENSIONS) | _contains_any(F.lower(path), DOC_FRAGMENTS)
+    return is_doc(file_ext(path), path)
 
 
 def is_lockfile(path: Column) -> Column:

@@ -18,12 +18,15 @@ TRIVIAL_PHRASES = [
 ]
 MEANINGFUL_LENGTH = 30
 CLOSING_PATTERN = r"(?i)\b(fix|fixes|fixed|close|closes|closed|resolve|resolves|resolved)\s+#(\d+)"
-WHITESPACE_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
     """Trim Unicode white space at both ends (``trim`` only takes blanks)."""
-    return F.regexp_replace(text, WHITESPACE_ENDS, "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def nonempty(text: Column) -> Column:
@@ -44,7 +47,7 @@ def is_bot_login(login: Column) -> Column:
 def is_meaningful_comment(body: Column) -> Column:
     """Long enough after trimming and no stock phrase.
 
-    The untrimmed length is tested first, so short bodies never reach the regex.
+    The untrimmed length is tested first, so short bodies are not trimmed at all.
     """
     text = F.lower(strip(body))
     good = (

@@ -327,11 +327,14 @@ o AS (SELECT 'small change' AS scenario, 100.0::DOUBLE AS d, NULL::DOUBLE AS c U
 e AS (SELECT example_id, scenario, 1 / (1 + exp(-(diff_lines / 1000.0::DOUBLE - changed_files / 100.0::DOUBLE - 1))) AS base_score,
   1 / (1 + exp(-(coalesce(d, diff_lines) / 1000.0::DOUBLE - coalesce(c, changed_files) / 100.0::DOUBLE - 1))) AS score FROM frame, o)
 SELECT example_id, scenario, round(base_score, 9) AS base_score, round(score, 9) AS score,
-  round(score - base_score, 9) AS delta FROM e""")
+  round(score - base_score, 9) + 0.0 AS delta FROM e""")
 def what_if_score(spark, sf_dir):
     scenarios = {
         "small change": {"diff_lines": 100.0}, "many files": {"changed_files": 500.0},
         "both": {"diff_lines": 100.0, "changed_files": 500.0},
     }
     rows = md.what_if_score(a.labelled_frame(spark, sf_dir).drop("text"), scenarios, _formula)
-    return rows.select("example_id", "scenario", *[F.round(c, 9).alias(c) for c in ("base_score", "score", "delta")])
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return rows.select(
+        "example_id", "scenario", *[(F.round(c, 9) + F.lit(0.0)).alias(c) for c in ("base_score", "score", "delta")]
+    )

@@ -45,17 +45,26 @@ def is_bot_login(login: Column) -> Column:
 
 
 def is_meaningful_comment(body: Column) -> Column:
-    """Long enough after trimming and no stock phrase.
+    """Long enough after trimming and lower-casing, and no stock phrase.
 
-    The untrimmed length is tested first, so short bodies are not trimmed at all.
+    Trimming is costly on long texts, so it only happens when an end is white
+    space. Lower-casing can lengthen a text (a dotted capital I), never shorten
+    it, so it only matters for texts that are a little too short. Every stock
+    phrase is shorter than the limit; a longer one would be compared.
     """
-    text = F.lower(strip(body))
-    good = (
-        (F.length(body) >= MEANINGFUL_LENGTH)
-        & (F.length(text) >= MEANINGFUL_LENGTH)
-        & ~text.isin(TRIVIAL_PHRASES)
+    edges = [F.substring(body, 1, 1), F.substring(body, -1, 1)]
+    padded = edges[0].isin(list(WHITESPACE)) | edges[1].isin(list(WHITESPACE))
+    size = F.length(body)
+    enough = (
+        ((size >= MEANINGFUL_LENGTH) & ~padded)
+        | ((size >= MEANINGFUL_LENGTH) & padded & (F.length(strip(body)) >= MEANINGFUL_LENGTH))
+        | ((size >= MEANINGFUL_LENGTH // 3) & (size < 3 * MEANINGFUL_LENGTH)
+           & (F.length(F.lower(strip(body))) >= MEANINGFUL_LENGTH))
     )
-    return F.coalesce(good, F.lit(False))
+    long_phrases = [p for p in TRIVIAL_PHRASES if len(p) >= MEANINGFUL_LENGTH]
+    if long_phrases:
+        enough = enough & ~F.lower(strip(body)).isin(long_phrases)
+    return F.coalesce(enough, F.lit(False))
 
 
 def linked_issue_number(title: Column, body: Column) -> Column:

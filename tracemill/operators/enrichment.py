@@ -6,74 +6,99 @@ only for outputs that are nested themselves.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.functions.text import linked_issue_number, nonempty
+from tracemill.functions.text import linked_issue_number
 
 KEY = ["repo_name", "pr_number"]
 PART_ROWS = 20000
 
 
-def split_large_groups(children: DataFrame, position: str, part_rows: int = PART_ROWS) -> DataFrame:
-    """Add ``part``: 0 for ordinary groups; a group of more than ``part_rows`` rows
-    is cut into consecutive position ranges of about that size.
+@dataclass(frozen=True)
+class Child:
+    """A landed child table of requests.
 
-    ``position`` is a number that orders the rows of a group (API position, id).
-    The ranges come from three partial aggregates, so no task ever sees a whole
-    large group. Ranges are even for evenly spread positions.
+    ``position`` is the 0-based place of a row in its request's listing, which
+    paging gives for free; ``order`` sorts the rows, ``item`` are their fields.
     """
-    sized = children.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(position).alias("__lo"), F.max(position).alias("__hi")
-    )
-    large = sized.filter(F.col("__n") > part_rows).withColumn(
-        "__parts", F.ceil(F.col("__n") / F.lit(part_rows))
-    )
-    share = (F.col(position) - F.col("__lo")) / (F.col("__hi") - F.col("__lo") + 1)
+
+    name: str
+    rows: DataFrame
+    position: Column
+    order: list[str]
+    item: list[Column]
+    keys: list[str] = field(default_factory=lambda: KEY)
+
+
+def part_of(position: Column, part_rows: int = PART_ROWS) -> Column:
+    """Rows of a request beyond ``part_rows`` go to further parts, so no array is unbounded."""
+    return F.floor(position / F.lit(part_rows)).cast("long")
+
+
+def nest(child: Child, part_rows: int = PART_ROWS) -> DataFrame:
+    """One ordered array per request and part: at most ``part_rows`` places each."""
+    entry = F.struct(*child.order, F.struct(*child.item).alias("item"))
     return (
-        children.join(large, KEY, "left")
-        .withColumn("part", F.coalesce(F.floor(share * F.col("__parts")), F.lit(0)).cast("long"))
-        .drop("__n", "__lo", "__hi", "__parts")
+        child.rows.withColumn("part", part_of(child.position, part_rows))
+        .groupBy(*child.keys, "part")
+        .agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["item"]).alias(child.name))
     )
 
 
-def nest(children: DataFrame, order: list[str], item: list[Column], name: str) -> DataFrame:
-    """One ordered array per key (and part, when there is one)."""
-    keys = [*KEY, "part"] if "part" in children.columns else KEY
-    entry = F.struct(*order, F.struct(*item).alias("item"))
-    return children.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["item"]).alias(name)
-    )
+def further_parts(children: list[Child], part_rows: int = PART_ROWS) -> DataFrame:
+    """Last part of the requests that have more than one.
+
+    The position test reaches the scans, whose statistics skip ordinary files.
+    """
+    late = [
+        c.rows.filter(c.position >= part_rows).select(*KEY, part_of(c.position, part_rows).alias("part"))
+        for c in children
+    ]
+    return reduce(DataFrame.unionByName, late).groupBy(*KEY).agg(F.max("part").alias("__last"))
 
 
-def assemble_enriched(spine: DataFrame, nested: list[tuple[DataFrame, str]]) -> DataFrame:
+def assemble_enriched(
+    spine: DataFrame, children: list[Child], ready: tuple[tuple[DataFrame, str], ...] = (), part_rows: int = PART_ROWS
+) -> DataFrame:
     """Left-join the child arrays to the spine; absent children are empty arrays.
 
-    All sides are hash-partitioned by the key, and each array side has one row
-    per key, so the joins add one exchange for the spine and no skew.
-    When a child has parts, the spine row is repeated per part: part 0 holds
-    the first range of every child, part 1 the second, and so on.
+    A request is one row with ``part`` 0, and a row per further part when one of
+    its listings is longer than ``part_rows``. ``ready`` holds arrays that are
+    already keyed by request and part. Every array side has one row per key and
+    part and is partitioned by it, so the joins are free of skew.
     """
-    parted = [child for child, _ in nested if "part" in child.columns]
-    keys = KEY
-    if parted:
-        keys = [*KEY, "part"]
-        extra = parted[0].select(*keys)
-        for child in parted[1:]:
-            extra = extra.unionByName(child.select(*keys))
-        # Only parts beyond the first are exploded onto the spine.
-        more = extra.filter("part > 0").groupBy(*KEY).agg(F.max("part").alias("__last"))
-        spine = spine.join(more, KEY, "left").withColumn(
-            "part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__last", F.lit(0).cast("long"))))
-        ).drop("__last")
-    out = spine
-    for child, name in nested:
-        if parted and "part" not in child.columns:
-            child = child.withColumn("part", F.lit(0).cast("long"))
-        out = out.join(child, keys, "left").withColumn(name, F.coalesce(F.col(name), F.array()))
+    keys = [*KEY, "part"]
+    zero = F.lit(0).cast("long")
+    out = (
+        spine.join(further_parts(children, part_rows), KEY, "left")
+        .withColumn("part", F.explode(F.sequence(zero, F.coalesce("__last", zero))))
+        .drop("__last")
+    )
+    arrays = [(nest(c, part_rows), c.name) for c in children]
+    for side, name in [*arrays, *ready]:
+        out = out.join(side, keys, "left").withColumn(name, F.coalesce(F.col(name), F.array()))
     return out
 
 
+def issue_comments(links: DataFrame, comments: Child, part_rows: int = PART_ROWS) -> DataFrame:
+    """Comments of linked issues, keyed by the request that links them.
+
+    ``links``: the request key and ``linked_issue_number``. The join runs on
+    narrow links and one array per issue, not on assembled rows; an issue that
+    very many requests link is a skewed key on the narrow side only.
+    """
+    arrays = nest(comments, part_rows).select(
+        "repo_name", F.col("pr_number").alias("linked_issue_number"), "part",
+        F.col(comments.name).alias("linked_issue_comments"),
+    )
+    wanted = links.filter(F.col("linked_issue_number").isNotNull()).select(*KEY, "linked_issue_number")
+    return wanted.join(arrays, ["repo_name", "linked_issue_number"]).select(*KEY, "part", "linked_issue_comments")
+
+
 def linked_issue_extract(prs: DataFrame) -> DataFrame:
     return prs.withColumn("linked_issue_number", linked_issue_number(F.col("title"), F.col("body")))
 
@@ -99,20 +124,6 @@ def linked_issue_join(prs: DataFrame, issues: DataFrame, issue_columns: list[str
     )
 
 
-def attach_issue_comments(prs: DataFrame, nested_comments: DataFrame, source: str) -> DataFrame:
-    """Comments of the linked issue, which are keyed like any other conversation."""
-    keyed = nested_comments.select(
-        "repo_name",
-        F.col("pr_number").alias("linked_issue_number"),
-        F.col(source).alias("linked_issue_comments"),
-        *[c for c in ("part",) if c in nested_comments.columns and c in prs.columns],
-    )
-    keys = [c for c in keyed.columns if c != "linked_issue_comments"]
-    return prs.join(keyed, keys, "left").withColumn(
-        "linked_issue_comments", F.coalesce("linked_issue_comments", F.array())
-    )
-
-
 def failure_split(rows: DataFrame, mandatory: dict[str, str], optional: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """Good rows with their ``api_errors``, and failure rows.
 
@@ -144,6 +155,3 @@ def failure_split(rows: DataFrame, mandatory: dict[str, str], optional: dict[str
     )
     return good, bad
 
-
-def has_text(column: str) -> Column:
-    return nonempty(F.col(column))

@@ -7,6 +7,9 @@ The gate works on a flat table of facts. Facts come either from child tables
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,13 +172,27 @@ def reject_conditions(rules: GateRules = GateRules()) -> dict[str, Column]:
     }
 
 
+def _with_reasons(facts: DataFrame, rules: GateRules) -> DataFrame:
+    """One boolean column per reason; reasons, score and verdict all read these."""
+    return facts.withColumns({f"__{r}": c for r, c in reject_conditions(rules).items()})
+
+
+def _reason_array(rules: GateRules) -> Column:
+    return F.array_compact(F.array(*[F.when(F.col(f"__{r}"), F.lit(r)) for r in reject_conditions(rules)]))
+
+
+def _drop_reasons(rows: DataFrame, rules: GateRules) -> DataFrame:
+    return rows.drop(*[f"__{r}" for r in reject_conditions(rules)])
+
+
 def reject_reasons(facts: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
-    reasons = F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in reject_conditions(rules).items()]))
-    return facts.withColumn("reject_reasons", reasons)
+    """Add ``reject_reasons``, an array in reporting order."""
+    rows = _with_reasons(facts, rules).withColumn("reject_reasons", _reason_array(rules))
+    return _drop_reasons(rows, rules)
 
 
 def quality_score(rules: GateRules = GateRules()) -> Column:
-    """Points for what is present, minus penalties for reasons already found."""
+    """Points for what is present, minus penalties for four of the reasons."""
     points = [
         (F.coalesce("merged", F.lit(False)), 20),
         (meaningful_used(rules) >= rules.min_meaningful_review_comments, 20),
@@ -188,21 +205,22 @@ def quality_score(rules: GateRules = GateRules()) -> Column:
     for condition, value in points:
         score = score + F.when(condition, value).otherwise(0)
     for reason in PENALTY_REASONS:
-        score = score - F.when(F.array_contains("reject_reasons", reason), 20).otherwise(0)
+        score = score - F.when(F.col(f"__{reason}"), 20).otherwise(0)
     return score.cast("long")
 
 
 def quality_gate(facts: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
     """Add the ``quality`` struct."""
-    scored = reject_reasons(facts, rules).withColumn("__score", quality_score(rules))
-    accepted = (F.size("reject_reasons") == 0) & (F.col("__score") >= rules.min_score)
-    return scored.withColumn("__accepted", accepted).withColumn(
+    scored = _with_reasons(facts, rules).withColumn("__score", quality_score(rules))
+    rejected = reduce(or_, [F.col(f"__{r}") for r in reject_conditions(rules)])
+    accepted = ~rejected & (F.col("__score") >= rules.min_score)
+    judged = scored.withColumn("__accepted", accepted).withColumn(
         "quality",
         F.struct(
             F.col("__accepted").alias("accepted"),
             F.col("__score").alias("score"),
             F.when(F.col("__accepted"), ACCEPTED_TIER).otherwise(REJECTED_TIER).alias("tier"),
-            "reject_reasons",
+            _reason_array(rules).alias("reject_reasons"),
             "discussion_count",
             "review_comment_count",
             meaningful_used(rules).alias("meaningful_review_comment_count"),
@@ -210,7 +228,8 @@ def quality_gate(facts: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
             "source_patch_count",
             size_of_change().alias("diff_lines"),
         ),
-    ).drop("__score", "__accepted", "reject_reasons")
+    )
+    return _drop_reasons(judged, rules).drop("__score", "__accepted")
 
 
 def review_concern_label(min_meaningful: int = 2, exclude_inactive: bool = True) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tracemill.functions.text import nonempty
 from tracemill.operators import enrichment, features, files as file_jobs, gate
 from tracemill.settings import GateRules
+from tracemill.storage import materialize
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -222,21 +223,23 @@ def _active_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _per_request(keys: DataFrame, child: DataFrame, child_id: str, per: Column) -> DataFrame:
-    """Attach child rows to requests by a shared residue."""
-    return (
-        keys.withColumn("__r", F.col("o_orderkey") % per)
-        .join(child.withColumn("__r", F.col(child_id) % per), "__r")
-        .drop("__r")
-    )
+def _keyed(keys: DataFrame, residue: Column) -> DataFrame:
+    """Narrow keys spread evenly before they fan out to child rows.
+
+    The fan-out then keeps this partitioning, so grouping the wide child rows by
+    request needs no further exchange where the child table is broadcast.
+    """
+    return keys.select(repo_of("o_orderkey").alias("repo_name"), F.col("o_orderkey").alias("pr_number"), residue.alias(
+        "__r")).repartition("repo_name", "pr_number")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     per = ev.agg(F.floor((F.max("event_id") + 1) / 3).alias("n")).scalar()
-    return _per_request(_active_keys(spark, sf_dir), ev, "event_id", per).select(
-        repo_of("o_orderkey").alias("repo_name"),
-        F.col("o_orderkey").alias("pr_number"),
+    keys = _keyed(_active_keys(spark, sf_dir), F.col("o_orderkey") % per)
+    return keys.join(ev.withColumn("__r", F.col("event_id") % per), "__r").select(
+        "repo_name",
+        "pr_number",
         "event_id",
         F.expr("concat('rev', user_id)").alias("login"),
         F.expr("""case event_type when 'error' then if(event_id % 5 = 0, 'changes_requested', 'CHANGES_REQUESTED')
@@ -244,18 +247,21 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("state"),
         F.col("props").alias("body"),
         iso(F.col("ts")).alias("submitted_at"),
+        F.floor(F.col("event_id") / per).alias("place"),
     )
 
 
 def _turns(spark: SparkSession, sf_dir: str, keys: DataFrame, role: str, body: str) -> DataFrame:
     conv = table(spark, sf_dir, "conversations")
     per = conv.agg((F.max("conv_id") + 1).alias("n")).scalar()
-    joined = _per_request(keys, conv.filter(F.col("role") == role), "conv_id", per)
+    joined = _keyed(keys, F.col("o_orderkey") % per).join(
+        conv.filter(F.col("role") == role).withColumnRenamed("conv_id", "__r"), "__r"
+    )
     return joined.select(
-        repo_of("o_orderkey").alias("repo_name"),
-        F.col("o_orderkey").alias("pr_number"),
+        "repo_name",
+        "pr_number",
         "turn",
-        F.expr("o_orderkey * 100 + turn").alias("comment_id"),
+        F.expr("pr_number * 100 + turn").alias("comment_id"),
         F.expr("concat(role, turn)").alias("login"),
         F.expr(body).alias("body"),
         F.expr("concat('src/p', turn, '.py')").alias("path"),
@@ -263,14 +269,14 @@ def _turns(spark: SparkSession, sf_dir: str, keys: DataFrame, role: str, body: s
 
 
 def review_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = """case when (turn + o_orderkey) % 9 = 2 then null
-        when (turn + o_orderkey) % 4 = 1 then concat(repeat(' ', 40), 'LGTM\\n') else text end"""
+    body = """case when (turn + pr_number) % 9 = 2 then null
+        when (turn + pr_number) % 4 = 1 then concat(repeat(' ', 40), 'LGTM\\n') else text end"""
     return _turns(spark, sf_dir, _active_keys(spark, sf_dir), "assistant", body)
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "orders").select("o_orderkey")
-    return _turns(spark, sf_dir, keys, "user", "if((turn + o_orderkey) % 8 = 3, null, text)")
+    return _turns(spark, sf_dir, keys, "user", "if((turn + pr_number) % 8 = 3, null, text)")
 
 
 def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,9 +323,12 @@ def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_outcomes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = requests(spark, sf_dir).withColumn("candidate", F.struct(*gate.KEY, "cand_additions"))
+    return failures_of(requests(spark, sf_dir))
+
+
+def failures_of(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return enrichment.failure_split(
-        rows,
+        rows.withColumn("candidate", F.struct(*gate.KEY, "cand_additions")),
         {"pr": "err_pr", "files": "err_files"},
         {"full_diff": "err_full_diff", "linked_issue": "err_linked_issue"},
     )
@@ -345,9 +354,9 @@ def _null(kind: str, name: str) -> Column:
     return F.lit(None).cast(kind).alias(name)
 
 
-def nested_children(spark: SparkSession, sf_dir: str, part_rows: int | None = None) -> dict[str, DataFrame]:
-    """The four ordered child arrays per request."""
-    cut = (lambda d, c: enrichment.split_large_groups(d, c, part_rows)) if part_rows else (lambda d, c: d)
+def children(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> list[enrichment.Child]:
+    """The four child tables, all of them or only those of the given requests."""
+    kept = (lambda d: d.join(keys.select(*gate.KEY), gate.KEY, "left_semi")) if keys is not None else (lambda d: d)
     user = user_struct(F.col("login")).alias("user")
     file_item = [
         "filename", "status", "additions", "deletions", (F.col("additions") + F.col("deletions")).alias("changes"),
@@ -357,35 +366,53 @@ def nested_children(spark: SparkSession, sf_dir: str, part_rows: int | None = No
         F.col("event_id").alias("id"), user, "state", "body", "submitted_at",
         _null("string", "commit_id"), _null("string", "html_url"),
     ]
-    comment_item = [
-        F.col("comment_id").alias("id"), user, "body", _null("string", "created_at"), _null("string", "updated_at"),
-        _null("string", "html_url"),
-    ]
     line_item = [
         F.col("comment_id").alias("id"), user, "path", _null("string", "diff_hunk"), "body",
         _null("string", "created_at"), _null("string", "updated_at"), _null("string", "commit_id"),
         _null("string", "original_commit_id"), F.col("turn").alias("line"), _null("bigint", "original_line"),
         _null("string", "html_url"),
     ]
-    return {
-        "files": enrichment.nest(
-            cut(changed_files(spark, sf_dir), "l_linenumber"), FILE_ORDER, file_item, "files"),
-        "reviews": enrichment.nest(cut(reviews(spark, sf_dir), "event_id"), ["event_id"], review_item, "reviews"),
-        "review_comments": enrichment.nest(
-            cut(review_comments(spark, sf_dir), "turn"), ["turn"], line_item, "review_comments"),
-        "pr_comments": enrichment.nest(cut(comments(spark, sf_dir), "turn"), ["turn"], comment_item, "pr_comments"),
-    }
+    return [
+        enrichment.Child("files", kept(changed_files(spark, sf_dir)), F.col("l_linenumber"), FILE_ORDER, file_item),
+        enrichment.Child("reviews", kept(reviews(spark, sf_dir)), F.col("place"), ["event_id"], review_item),
+        enrichment.Child(
+            "review_comments", kept(review_comments(spark, sf_dir)), F.col("turn"), ["turn"], line_item),
+        conversation(kept(comments(spark, sf_dir))),
+    ]
+
+
+def conversation(rows: DataFrame) -> enrichment.Child:
+    item = [
+        F.col("comment_id").alias("id"), user_struct(F.col("login")).alias("user"), "body",
+        _null("string", "created_at"), _null("string", "updated_at"), _null("string", "html_url"),
+    ]
+    return enrichment.Child("pr_comments", rows, F.col("turn"), ["turn"], item)
+
+
+def judged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat judged rows of the requests that arrived whole, with their issue link.
 
+    Written once: the verdict decides which wide child rows are touched at all,
+    and several steps read it.
+    """
+    counted = gate.attach_counts(
+        linked(spark, sf_dir), gate.child_counts(
+            changed_files(spark, sf_dir), reviews(spark, sf_dir), review_comments(spark, sf_dir),
+            comments(spark, sf_dir)))
+    good, _ = failures_of(gate.quality_gate(counted))
+    return materialize(good, "judged")
 
-def enriched(spark: SparkSession, sf_dir: str, part_rows: int | None = enrichment.PART_ROWS) -> DataFrame:
+
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested rows of every request that arrived whole."""
-    good, _ = split_outcomes(spark, sf_dir)
-    return enrich(spark, sf_dir, good, part_rows)
+    good, _ = failures_of(linked(spark, sf_dir))
+    return enrich(spark, sf_dir, good)
 
 
-def enrich(spark: SparkSession, sf_dir: str, rows: DataFrame, part_rows: int | None = enrichment.PART_ROWS) -> DataFrame:
-    with_issue = linked(spark, sf_dir, rows)
-    spine = with_issue.select(
+def enrich(spark: SparkSession, sf_dir: str, rows: DataFrame, only_these: bool = False) -> DataFrame:
+    """Assemble the given linked requests; ``only_these`` skips child rows of all others."""
+    extra = [c for c in ("quality",) if c in rows.columns]
+    spine = rows.select(
         *gate.KEY,
         F.struct(
             *gate.KEY, F.col("cand_additions").alias("additions"), F.col("cand_deletions").alias("deletions"),
@@ -399,11 +426,16 @@ def enrich(spark: SparkSession, sf_dir: str, rows: DataFrame, part_rows: int | N
             F.struct(F.col("head_sha").alias("sha")).alias("head"),
             "merge_commit_sha", "changed_files", "additions", "deletions", "commits",
         ).alias("pr"),
-        "full_diff", "linked_issue_number", "linked_issue", "api_errors", "retrieved_at",
+        "full_diff", "linked_issue_number", "linked_issue", "api_errors", "retrieved_at", *extra,
+    )
+    talk = comments(spark, sf_dir)
+    if only_these:
+        issues_needed = rows.select("repo_name", F.col("linked_issue_number").alias("pr_number"))
+        talk = talk.join(issues_needed, gate.KEY, "left_semi")
+    answers = enrichment.issue_comments(rows, conversation(talk))
+    return enrichment.assemble_enriched(
+        spine, children(spark, sf_dir, rows if only_these else None), ((answers, "linked_issue_comments"),)
     )
-    children = nested_children(spark, sf_dir, part_rows)
-    rows_out = enrichment.assemble_enriched(spine, [(child, name) for name, child in children.items()])
-    return enrichment.attach_issue_comments(rows_out, children["pr_comments"], "pr_comments")
 
 
 def modeling_rows(spark: SparkSession, sf_dir: str, cap: int = 1000) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tracemill.operators import discovery, enrichment, gate, splits, traces
+from tracemill.operators import discovery, enrichment, gate, splits
 from tracemill.operators.features import feature_table_v1
 from tracemill.plans import analogs as a
 from tracemill.plans.analogs import ACTIVITY_SQL, TRACE_SQL
@@ -14,14 +14,15 @@ from tracemill.plans.model_queries import _FRAME_SPLIT_SQL, matrix
 from tracemill.plans.quality_queries import _ASSEMBLED_SQL
 from tracemill.plans.registry import query
 from tracemill.plans.view_queries import (
-    _AUDIT_SQL, _FEATURE_SQL, _SFT_SQL, _audit_sample, _split_sql, feature_input, trace_rows,
+    _AUDIT_SQL, _FEATURE_SQL, _SFT_SQL, _split_sql, audited, feature_input, trace_rows,
 )
+from tracemill.schemas import INT, LONG, TEXT, struct
 from tracemill.settings import DEFAULTS
 from tracemill.sources import readers as r, writers as w
 from tracemill.storage import scratch_path
 
 K = gate.KEY
-TALK = StructType.fromDDL("conv_id bigint, turn bigint, role string, text string")
+TALK = struct(conv_id=LONG, turn=LONG, role=TEXT, text=TEXT)
 
 
 def _event_lines(spark, sf_dir):
@@ -116,7 +117,7 @@ def sink_jsonl(spark, sf_dir):
     first = docs.join(labels, "doc_id", "left").select("doc_id", "lang", "quality")
     w.sink_jsonl(first, path)
     w.sink_jsonl(labels.select("doc_id", F.lit("second").alias("lang"), "quality"), path, mode="append")
-    return r.scan_jsonl(spark, path, StructType.fromDDL("doc_id bigint, lang string, quality int"))
+    return r.scan_jsonl(spark, path, struct(doc_id=LONG, lang=TEXT, quality=INT))
 
 
 @query("sink_candidates", ACTIVITY_SQL + """
@@ -181,7 +182,7 @@ SELECT j.example_id, j.score, j.reasons AS reject_reasons, coalesce(j.title, '')
 FROM judged j JOIN sample USING (example_id) WHERE NOT bad_pr AND NOT bad_files""")
 def sink_audit(spark, sf_dir):
     path = scratch_path(spark, "audit")
-    rows = splits.audit_rows(trace_rows(spark, sf_dir), _audit_sample(spark, sf_dir))
+    rows = audited(spark, sf_dir)
     w.sink_csv(rows, path)
     saved = r.scan_candidates_csv(spark, path, rows.schema)
     text = lambda c: F.coalesce(c, F.lit("")).alias(c)
@@ -194,8 +195,8 @@ SELECT repo_name, pr_number, CASE WHEN bad_pr OR bad_files THEN 'failed' ELSE 'e
 def incremental_append(spark, sf_dir):
     """Two runs: merged requests first, then all of them; the second skips what the first wrote."""
     success, failure = scratch_path(spark, "runs-ok"), scratch_path(spark, "runs-failed")
-    good_schema = StructType.fromDDL("repo_name string, pr_number bigint, run bigint")
-    bad_schema = StructType.fromDDL("repo_name string, pr_number bigint, run bigint, error_type string")
+    good_schema = struct(repo_name=TEXT, pr_number=LONG, run=LONG)
+    bad_schema = struct(repo_name=TEXT, pr_number=LONG, run=LONG, error_type=TEXT)
     from tracemill.operators import selection
 
     everything = selection.with_key(
@@ -245,5 +246,5 @@ UNION ALL SELECT 'card', 'unique_repos', repos FROM t""")
 def finalize_all(spark, sf_dir):
     """All eight steps written to the shared folder; returns each step's counts."""
     return finalize(
-        a.enriched(spark, sf_dir), a.failures(spark, sf_dir), scratch_path(spark, "release"), DEFAULTS
+        trace_rows(spark, sf_dir), a.failures(spark, sf_dir), scratch_path(spark, "release"), DEFAULTS
     )

@@ -265,7 +265,10 @@ def quality_gate_nested(spark, sf_dir):
 SELECT example_id, CASE WHEN accepted THEN 'accepted' ELSE 'rejected' END AS output, score FROM judged
 WHERE NOT bad_pr AND NOT bad_files""")
 def accept_reject_split(spark, sf_dir):
-    rows = traces.build_trace(gate.quality_gate(gate.nested_facts(a.enriched(spark, sf_dir))))
+    """Routing reads the written verdicts; the wide rows follow by key (``sink_trace_parquet``)."""
+    rows = a.judged_table(spark, sf_dir).select(
+        text.example_id(F.col("repo_name"), F.col("pr_number")).alias("example_id"), "quality"
+    )
     accepted, rejected = traces.accept_reject_split(rows)
     show = lambda d, name: d.select("example_id", F.lit(name).alias("output"), "quality.score")
     return show(accepted, "accepted").unionByName(show(rejected, "rejected"))

@@ -10,12 +10,20 @@ from tracemill.plans.analogs import TRACE_SQL
 from tracemill.plans.quality_queries import _ASSEMBLED_SQL, _joined
 from tracemill.plans.registry import query
 from tracemill.settings import DEFAULTS
+from tracemill.storage import materialize
 
 K = gate.KEY
 
 
 def trace_rows(spark, sf_dir):
-    return traces.build_trace(gate.quality_gate(gate.nested_facts(a.enriched(spark, sf_dir))))
+    """Every trace; the verdict comes from child counts, so no array is read for it."""
+    return traces.build_trace(a.enrich(spark, sf_dir, a.judged_table(spark, sf_dir)))
+
+
+def accepted_traces(spark, sf_dir):
+    """Traces of the accepted requests only; child rows of all others are left out early."""
+    rows = a.judged_table(spark, sf_dir).filter("quality.accepted")
+    return traces.build_trace(a.enrich(spark, sf_dir, rows, only_these=True))
 
 
 @query("compact_children", _ASSEMBLED_SQL + """
@@ -114,21 +122,21 @@ def _chat(rows):
 SELECT example_id, task_type, md5(prompt) AS prompt, md5(answer) AS answer, 'system,user,assistant' AS roles, repo, score
 FROM s1""")
 def sft_review(spark, sf_dir):
-    return _chat(traces.sft_review(trace_rows(spark, sf_dir)))
+    return _chat(traces.sft_review(accepted_traces(spark, sf_dir)))
 
 
 @query("sft_issue_to_patch", _SFT_SQL + """
 SELECT example_id, task_type, md5(prompt) AS prompt, md5(answer) AS answer, 'system,user,assistant' AS roles, repo, score,
   linked_issue_url FROM s2""")
 def sft_issue_to_patch(spark, sf_dir):
-    return _chat(traces.sft_issue_to_patch(trace_rows(spark, sf_dir)))
+    return _chat(traces.sft_issue_to_patch(accepted_traces(spark, sf_dir)))
 
 
 @query("sft_stats", _SFT_SQL + """
 SELECT (SELECT count(*) FROM acc) AS accepted_loaded, (SELECT count(*) FROM s1) AS review_sft_rows,
   (SELECT count(*) FROM s2) AS issue_to_patch_sft_rows""")
 def sft_stats(spark, sf_dir):
-    return traces.sft_stats(trace_rows(spark, sf_dir))
+    return traces.sft_stats(accepted_traces(spark, sf_dir))
 
 
 # --- features ----------------------------------------------------------------
@@ -402,5 +410,11 @@ FROM judged j JOIN sample USING (example_id)
     USING (repo_name, pr_number)
   LEFT JOIN fp USING (repo_name, pr_number) LEFT JOIN rp USING (repo_name, pr_number)""")
 def audit_rows(spark, sf_dir):
-    rows = splits.audit_rows(trace_rows(spark, sf_dir), _audit_sample(spark, sf_dir))
-    return rows.withColumn("accepted", F.col("accepted").cast("long"))
+    return audited(spark, sf_dir).withColumn("accepted", F.col("accepted").cast("long"))
+
+
+def audited(spark, sf_dir):
+    """Only the sampled requests, a few hundred, are assembled."""
+    sample = materialize(_audit_sample(spark, sf_dir), "audit-ids")
+    rows = _with_id(a.judged_table(spark, sf_dir)).join(F.broadcast(sample), "example_id", "left_semi")
+    return splits.audit_rows(traces.build_trace(a.enrich(spark, sf_dir, rows, only_these=True)), sample)

@@ -2,58 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DataType, IntegerType, LongType, StringType, StructField, StructType,
+)
+
+TEXT, LONG, INT, FLAG = StringType(), LongType(), IntegerType(), BooleanType()
 
 
-def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
+def struct(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
 
 
-EVENT_LINE = _ddl("type string, repo struct<name:string>, created_at string, payload string")
+EVENT_LINE = struct(type=TEXT, repo=struct(name=TEXT), created_at=TEXT, payload=TEXT)
 
 # Every leaf is read as text: flags may be booleans or strings, numbers may be junk.
-EVENT_PAYLOAD = _ddl(
-    "action string, "
-    "pull_request struct<number:string,merged:string,html_url:string,title:string,body:string,"
-    "merge_commit_sha:string,additions:string,deletions:string,changed_files:string>, "
-    "issue struct<number:string>"
+EVENT_PAYLOAD = struct(
+    action=TEXT,
+    pull_request=struct(
+        number=TEXT, merged=TEXT, html_url=TEXT, title=TEXT, body=TEXT, merge_commit_sha=TEXT, additions=TEXT,
+        deletions=TEXT, changed_files=TEXT,
+    ),
+    issue=struct(number=TEXT),
 )
 
-CANDIDATE = _ddl(
-    "repo_name string, pr_number bigint, pr_url string, pr_title string, pr_body string, "
-    "merge_commit_sha string, additions bigint, deletions bigint, changed_files bigint, "
-    "issue_comment_events bigint, review_events bigint, review_comment_events bigint, "
-    "first_seen_at string, last_seen_at string"
+CANDIDATE = struct(
+    repo_name=TEXT, pr_number=LONG, pr_url=TEXT, pr_title=TEXT, pr_body=TEXT, merge_commit_sha=TEXT, additions=LONG,
+    deletions=LONG, changed_files=LONG, issue_comment_events=LONG, review_events=LONG, review_comment_events=LONG,
+    first_seen_at=TEXT, last_seen_at=TEXT,
 )
 
-_USER = "struct<login:string,type:string,html_url:string>"
-_COMMENT = (
-    f"struct<id:bigint,user:{_USER},body:string,created_at:string,updated_at:string,html_url:string>"
+USER = struct(login=TEXT, type=TEXT, html_url=TEXT)
+COMMENT = struct(id=LONG, user=USER, body=TEXT, created_at=TEXT, updated_at=TEXT, html_url=TEXT)
+FILE = struct(
+    filename=TEXT, status=TEXT, additions=LONG, deletions=LONG, changes=LONG, patch=TEXT, raw_url=TEXT, blob_url=TEXT,
+    previous_filename=TEXT,
+)
+REVIEW = struct(id=LONG, user=USER, state=TEXT, body=TEXT, submitted_at=TEXT, commit_id=TEXT, html_url=TEXT)
+REVIEW_COMMENT = struct(
+    id=LONG, user=USER, path=TEXT, diff_hunk=TEXT, body=TEXT, created_at=TEXT, updated_at=TEXT, commit_id=TEXT,
+    original_commit_id=TEXT, line=LONG, original_line=LONG, html_url=TEXT,
 )
-_CANDIDATE_STRUCT = CANDIDATE.simpleString()
+API_ERROR = struct(stage=TEXT, error_type=TEXT, message=TEXT, status_code=LONG)
 
-FAILURE = _ddl(
-    f"repo_name string, pr_number bigint, candidate {_CANDIDATE_STRUCT}, "
-    "error_type string, error_message string, retrieved_at string"
+FAILURE = struct(
+    repo_name=TEXT, pr_number=LONG, candidate=CANDIDATE, error_type=TEXT, error_message=TEXT, retrieved_at=TEXT,
 )
 
-ENRICHED = _ddl(
-    f"repo_name string, pr_number bigint, candidate {_CANDIDATE_STRUCT}, "
-    f"pr struct<html_url:string,title:string,body:string,user:{_USER},author_association:string,"
-    "merged:boolean,created_at:string,updated_at:string,closed_at:string,merged_at:string,"
-    "base:struct<sha:string>,head:struct<sha:string>,merge_commit_sha:string,"
-    "changed_files:bigint,additions:bigint,deletions:bigint,commits:bigint>, "
-    "files array<struct<filename:string,status:string,additions:bigint,deletions:bigint,changes:bigint,"
-    "patch:string,raw_url:string,blob_url:string,previous_filename:string>>, "
-    f"reviews array<struct<id:bigint,user:{_USER},state:string,body:string,submitted_at:string,"
-    "commit_id:string,html_url:string>>, "
-    f"review_comments array<struct<id:bigint,user:{_USER},path:string,diff_hunk:string,body:string,"
-    "created_at:string,updated_at:string,commit_id:string,original_commit_id:string,line:bigint,"
-    "original_line:bigint,html_url:string>>, "
-    f"pr_comments array<{_COMMENT}>, full_diff string, linked_issue_number bigint, "
-    f"linked_issue struct<html_url:string,title:string,body:string,user:{_USER},"
-    "created_at:string,updated_at:string>, "
-    f"linked_issue_comments array<{_COMMENT}>, "
-    "api_errors array<struct<stage:string,error_type:string,message:string,status_code:bigint>>, "
-    "retrieved_at string"
+ENRICHED = struct(
+    repo_name=TEXT,
+    pr_number=LONG,
+    candidate=CANDIDATE,
+    pr=struct(
+        html_url=TEXT, title=TEXT, body=TEXT, user=USER, author_association=TEXT, merged=FLAG, created_at=TEXT,
+        updated_at=TEXT, closed_at=TEXT, merged_at=TEXT, base=struct(sha=TEXT), head=struct(sha=TEXT),
+        merge_commit_sha=TEXT, changed_files=LONG, additions=LONG, deletions=LONG, commits=LONG,
+    ),
+    files=ArrayType(FILE),
+    reviews=ArrayType(REVIEW),
+    review_comments=ArrayType(REVIEW_COMMENT),
+    pr_comments=ArrayType(COMMENT),
+    full_diff=TEXT,
+    linked_issue_number=LONG,
+    linked_issue=struct(html_url=TEXT, title=TEXT, body=TEXT, user=USER, created_at=TEXT, updated_at=TEXT),
+    linked_issue_comments=ArrayType(COMMENT),
+    api_errors=ArrayType(API_ERROR),
+    retrieved_at=TEXT,
 )

@@ -34,7 +34,10 @@ def iso(ts: Column) -> Column:
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """type, repo, created_at, payload (JSON text) and ``seq``."""
-    ev = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    # props is {"k": n}; cut out by position, as filters pushed below this projection repeat it.
+    ev = table(spark, sf_dir, "events").withColumn(
+        "k", F.substring_index(F.substring_index("props", ": ", -1), "}", 1).cast("long")
+    )
     number = "cast(user_id * 3 + event_id % 3 as string)"
     close = f"""concat(
         '{{"action":"', if(k % 10 = 0, 'opened', 'closed'), '","pull_request":{{"number":', {number},

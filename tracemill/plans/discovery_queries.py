@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import repo_owner, repo_short_name, seeded_digest
@@ -11,6 +11,7 @@ from tracemill.operators import selection as s
 from tracemill.plans.analogs import ACTIVITY_SQL, event_log, table
 from tracemill.plans.registry import query
 from tracemill.settings import DEFAULTS
+from tracemill.storage import materialize
 
 
 
@@ -271,7 +272,10 @@ def quota_rebalance(spark, sf_dir):
 
 
 def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pending = _flagged(spark, sf_dir).filter("pending").select("file_name", "key", "first_order")
+    # Read three times by the sampler, so the narrow pending keys are written once.
+    pending = materialize(
+        _flagged(spark, sf_dir).filter("pending").select("file_name", "key", "first_order"), "pending"
+    )
     return s.balanced_sample(pending, "file_name", "key", _TOTAL, DEFAULTS.split.seed)
 
 

@@ -220,10 +220,12 @@ def _one_hot_sql() -> str:
 
 @query("one_hot", TRACE_SQL + _one_hot_sql())
 def one_hot(spark, sf_dir):
-    base = a.modeling_rows(spark, sf_dir).select("example_id", "top_language", "author_association")
-    # Observed values are read off the requests themselves, without the joins.
-    seen = ft.observed_associations(a.requests(spark, sf_dir).select(
-        F.upper(F.coalesce("author_association", F.lit("UNKNOWN"))).alias("author_association")))
+    # Both categories without the rest of the modeling table.
+    lang = fj.top_language(a.changed_files(spark, sf_dir), a.file_order())
+    association = F.upper(F.coalesce("author_association", F.lit("UNKNOWN"))).alias("author_association")
+    people = _with_id(a.requests(spark, sf_dir)).select(*K, "example_id", association)
+    seen = ft.observed_associations(people)
+    base = people.join(lang, K, "left").withColumn("top_language", F.coalesce("top_language", F.lit("unknown")))
     rows, columns = ft.one_hot(base, seen)
     return rows.select("example_id", *[F.col(c).cast("long").alias(c) for c in columns])
 
@@ -383,7 +385,9 @@ def _with_id(rows):
 
 
 def _audit_sample(spark, sf_dir):
-    return splits.audit_sample(_with_id(a.judged(spark, sf_dir)).select("example_id", "quality"))
+    # The sampler reads its input three times: ids and verdicts are written once.
+    verdicts = _with_id(a.judged(spark, sf_dir)).select("example_id", "quality")
+    return splits.audit_sample(materialize(verdicts, "verdicts"))
 
 
 @query("audit_sample", _AUDIT_SQL + "SELECT example_id, CAST(stratum AS BIGINT) AS stratum FROM sample")

@@ -69,20 +69,25 @@ def tail_extension(path: Column) -> Column:
     return _last_extension(F.coalesce(path, F.lit("")))
 
 
-def is_doc(ext: Column, path: Column) -> Column:
-    return ext.isin(DOC_EXTENSIONS) | _contains_any(F.lower(path), DOC_FRAGMENTS)
+def is_doc(ext: Column, low: Column) -> Column:
+    """Same as ``is_doc_file`` from a ready extension and lower-cased path."""
+    return ext.isin(DOC_EXTENSIONS) | _contains_any(low, DOC_FRAGMENTS)
 
 
 def is_doc_file(path: Column) -> Column:
-    return is_doc(file_ext(path), path)
+    return is_doc(file_ext(path), F.lower(path))
 
 
 def is_lockfile(path: Column) -> Column:
     return base_name(path).isin(LOCKFILE_NAMES)
 
 
+def is_generated(low: Column) -> Column:
+    return _contains_any(low, GENERATED_FRAGMENTS)
+
+
 def is_generated_or_vendor(path: Column) -> Column:
-    return _contains_any(F.lower(path), GENERATED_FRAGMENTS)
+    return is_generated(F.lower(path))
 
 
 def is_source_file(path: Column) -> Column:
@@ -90,11 +95,9 @@ def is_source_file(path: Column) -> Column:
 
 
 def language_of_ext(ext: Column) -> Column:
-    branch = None
-    for language in LANGUAGE_NAMES:
-        hit = ext.isin([e for e, name in LANGUAGES.items() if name == language])
-        branch = F.when(hit, language) if branch is None else branch.when(hit, language)
-    return branch
+    """Lookup in a constant map, so the extension is computed once per row."""
+    pairs = [F.lit(v) for pair in LANGUAGES.items() for v in pair]
+    return F.create_map(*pairs)[ext]
 
 
 def source_language(path: Column) -> Column:

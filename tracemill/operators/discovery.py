@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracemill import schemas
-from tracemill.functions.text import blank_to_null, nonempty
+from tracemill.functions.text import nonempty
 from tracemill.settings import CandidateRules
 
 # Event types of the log.
@@ -21,11 +21,15 @@ TEXT_FIELDS = {"pr_url": "html_url", "pr_title": "title", "pr_body": "body", "me
 NUMBER_FIELDS = ["additions", "deletions", "changed_files"]
 
 
-def valid_events(events: DataFrame) -> DataFrame:
-    """Rows with a repository, a time and a payload that is an object (or absent)."""
+def is_valid_event() -> Column:
+    """A repository, a time and a payload that is an object (or absent)."""
     payload = F.ltrim("payload")
     object_like = payload.isNull() | payload.startswith("{") | payload.isin("", "null", "[]", "0", "false")
-    return events.filter(nonempty(F.col("repo.name")) & nonempty(F.col("created_at")) & object_like)
+    return nonempty(F.col("repo.name")) & nonempty(F.col("created_at")) & object_like
+
+
+def valid_events(events: DataFrame) -> DataFrame:
+    return events.filter(is_valid_event())
 
 
 def lenient_int(text: Column) -> Column:
@@ -38,8 +42,7 @@ def parse_activity(events: DataFrame) -> DataFrame:
     Types that no operator uses are dropped before the payload is parsed.
     """
     used = valid_events(events).filter(F.col("type").isin([CLOSE_EVENT, *ACTIVITY_EVENTS]))
-    # The payload struct is consumed by several columns; a separate projection
-    # behind a filter on it keeps the JSON parse from being inlined repeatedly.
+    # The payload struct stays a projection of its own in the plan: one parse per row.
     parsed = used.withColumn("p", F.from_json("payload", schemas.EVENT_PAYLOAD))
     pr = "p.pull_request."
     return parsed.select(
@@ -211,4 +214,5 @@ def event_log_stats(events: DataFrame) -> DataFrame:
         F.count_distinct("file_name").alias("input_files"),
         F.count_if(~F.col("is_bad_json")).alias("parsed_events"),
         F.count_if("is_bad_json").alias("json_errors"),
+        F.count_if(~F.col("is_bad_json") & is_valid_event()).alias("valid_events"),
     )

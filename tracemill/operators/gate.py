@@ -34,15 +34,15 @@ FACT_COLUMNS = [
 ]
 
 
-def _file_flags(path: Column, ext: Column, patch: Column) -> dict[str, Column]:
+def _file_flags(path: Column, ext: Column, low: Column, patch: Column) -> dict[str, Column]:
     named = nonempty(path)
     source = named & F.coalesce(ext.isin(paths.SOURCE_EXTENSIONS), F.lit(False))
     return {
         "file_count": F.lit(True),
         "named_count": named,
-        "doc_count": named & F.coalesce(paths.is_doc(ext, path), F.lit(False)),
+        "doc_count": named & F.coalesce(paths.is_doc(ext, low), F.lit(False)),
         "lock_count": named & F.coalesce(paths.is_lockfile(path), F.lit(False)),
-        "generated_count": named & F.coalesce(paths.is_generated_or_vendor(path), F.lit(False)),
+        "generated_count": named & F.coalesce(paths.is_generated(low), F.lit(False)),
         "source_file_count": source,
         "source_patch_count": source & nonempty(patch),
     }
@@ -75,9 +75,10 @@ def _flag_rows(child: DataFrame, flags: dict[str, Column]) -> DataFrame:
 
 def child_counts(files: DataFrame, reviews: DataFrame, review_comments: DataFrame, comments: DataFrame) -> DataFrame:
     """All facts of a request in one aggregate over the union of its child tables."""
-    named = files.select(*KEY, "filename", "patch", paths.file_ext(F.col("filename")).alias("ext"))
+    path = F.col("filename")
+    named = files.select(*KEY, "filename", "patch", paths.file_ext(path).alias("ext"), F.lower(path).alias("low"))
     union = (
-        _flag_rows(named, _file_flags(F.col("filename"), F.col("ext"), F.col("patch")))
+        _flag_rows(named, _file_flags(path, F.col("ext"), F.col("low"), F.col("patch")))
         .unionByName(_flag_rows(reviews, _review_flags(F.col("state"))))
         .unionByName(_flag_rows(review_comments, _comment_flags(F.col("body"))))
         .unionByName(_flag_rows(comments, {"discussion_count": F.lit(True)}))
@@ -94,7 +95,7 @@ def attach_counts(prs: DataFrame, counts: DataFrame) -> DataFrame:
 def nested_facts(enriched: DataFrame) -> DataFrame:
     """The same facts from the arrays of a nested row, plus the flat gate inputs."""
     groups = {
-        "__files": lambda x: _file_flags(x["filename"], x["ext"], x["patch"]),
+        "__files": lambda x: _file_flags(x["filename"], x["ext"], x["low"], x["patch"]),
         "reviews": lambda x: _review_flags(x["state"]),
         "review_comments": lambda x: _comment_flags(x["body"]),
         "pr_comments": lambda x: {"discussion_count": F.lit(True)},
@@ -112,6 +113,7 @@ def nested_facts(enriched: DataFrame) -> DataFrame:
     # Extensions are cut out once per file, ahead of the counters that look them up.
     with_ext = enriched.withColumn("__files", F.transform("files", lambda x: F.struct(
         x["filename"].alias("filename"), paths.file_ext(x["filename"]).alias("ext"),
+        F.lower(x["filename"]).alias("low"),
         F.substring(x["patch"], 1, 1).alias("patch"),
     )))
     return with_ext.select("*", *columns, *gate_inputs("pr.")).drop("__files")

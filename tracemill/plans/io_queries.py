@@ -44,16 +44,15 @@ SELECT CAST(1 AS BIGINT) AS input_files, count(*) AS parsed_events,
   count(*) FILTER (WHERE type = 'WatchEvent') AS json_errors,
   (SELECT count(*) FROM valid) AS valid_events, (SELECT count(*) FROM act WHERE active) AS active_events FROM log""")
 def scan_event_log(spark, sf_dir):
-    """Gzip lines written and scanned again; parsed, broken and usable lines counted in one pass."""
+    """Gzip lines written and scanned again; parsed, broken and valid lines counted in one pass."""
     path = scratch_path(spark, "event-log")
     _event_lines(spark, sf_dir).write.option("compression", "gzip").text(path)
     events = r.scan_event_log(spark, f"{path}/*.gz", partitions=spark.sparkContext.defaultParallelism)
-    usable = discovery.valid_events(events.filter(~F.col("is_bad_json")))
     active = discovery.pr_number_resolve(discovery.parse_activity(events.filter(~F.col("is_bad_json"))))
-    count = lambda d: d.agg(F.count(F.lit(1)).alias("n")).scalar()
     return discovery.event_log_stats(events).select(
         F.least("input_files", F.lit(1).cast("long")).alias("input_files"), "parsed_events", "json_errors",
-    ).withColumns({"valid_events": count(usable), "active_events": count(active)})
+        "valid_events",
+    ).withColumn("active_events", active.agg(F.count(F.lit(1)).alias("n")).scalar())
 
 
 @query("hourly_coverage", """

@@ -39,16 +39,14 @@ def sink_trace_parquet(traces: DataFrame, path: str) -> None:
 
 
 def sink_features(features: DataFrame, csv_path: str, parquet_path: str) -> DataFrame:
-    """Feature rows per split in both formats; returns the row counts per split."""
-    sink_csv(features, csv_path, partition_by=("split",))
+    """Feature rows per split in both formats; returns the row counts per split.
+
+    Features are computed for the Parquet write only; CSV and counts read that.
+    """
     features.write.mode("overwrite").partitionBy("split").parquet(parquet_path)
-    spark = features.sparkSession
-    return (
-        spark.read.schema(features.schema)
-        .parquet(parquet_path)
-        .groupBy("split")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    saved = features.sparkSession.read.schema(features.schema).parquet(parquet_path)
+    sink_csv(saved, csv_path, partition_by=("split",))
+    return saved.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def sink_matrix(matrix: DataFrame, path: str, manifest: dict) -> None:

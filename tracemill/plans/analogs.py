@@ -392,8 +392,8 @@ def conversation(rows: DataFrame) -> enrichment.Child:
     return enrichment.Child("pr_comments", rows, F.col("turn"), ["turn"], item)
 
 
-def judged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat judged rows of the requests that arrived whole, with their issue link.
+def verdict_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat judged rows of all requests, with issue link and error columns.
 
     Written once: the verdict decides which wide child rows are touched at all,
     and several steps read it.
@@ -402,8 +402,13 @@ def judged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         linked(spark, sf_dir), gate.child_counts(
             changed_files(spark, sf_dir), reviews(spark, sf_dir), review_comments(spark, sf_dir),
             comments(spark, sf_dir)))
-    good, _ = failures_of(gate.quality_gate(counted))
-    return materialize(good, "judged")
+    return materialize(gate.quality_gate(counted), "judged")
+
+
+def judged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written verdicts of the requests that arrived whole."""
+    good, _ = failures_of(verdict_table(spark, sf_dir))
+    return good
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -419,6 +419,8 @@ def audit_rows(spark, sf_dir):
 
 def audited(spark, sf_dir):
     """Only the sampled requests, a few hundred, are assembled."""
-    sample = materialize(_audit_sample(spark, sf_dir), "audit-ids")
-    rows = _with_id(a.judged_table(spark, sf_dir)).join(F.broadcast(sample), "example_id", "left_semi")
+    verdicts = _with_id(a.verdict_table(spark, sf_dir))
+    sample = materialize(splits.audit_sample(verdicts.select("example_id", "quality")), "audit-ids")
+    good, _ = a.failures_of(verdicts)
+    rows = good.join(F.broadcast(sample), "example_id", "left_semi")
     return splits.audit_rows(traces.build_trace(a.enrich(spark, sf_dir, rows, only_these=True)), sample)

@@ -12,11 +12,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _FALLBACK: dict[str, str] = {}
 _FOLDERS: dict[str, str] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _configured(spark: SparkSession) -> str | None:
@@ -77,6 +79,21 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return Workspace(df.sparkSession).save(df, name, partition_by)
 
 
+@contextmanager
+def _shuffle_files_go(spark: SparkSession):
+    """Once a table is written nothing reads the shuffles behind it: Spark drops
+    their files at the end of the write, not when the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 class Workspace:
     """The intermediate tables of one operator call, dropped one by one when
     their last reader inside the call is done."""
@@ -90,7 +107,8 @@ class Workspace:
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        with _shuffle_files_go(self.spark):
+            writer.parquet(path)
         self._paths[name] = path
         # A CHAR-free explicit schema keeps partition columns typed as declared.
         return self.spark.read.schema(df.schema).parquet(path)

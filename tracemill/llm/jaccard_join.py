@@ -186,7 +186,7 @@ class JaccardJoin:
         counted = (
             self.docs.select("text").mapInArrow(_heads, "s long, c long").groupBy("s").agg(F.sum("c").alias("c"))
             .filter(F.col("c") > SHARED_BY).orderBy(F.desc("c"), "s").limit(LATE_AT_MOST))
-        return np.sort(np.array([r["s"] for r in counted.collect()], np.int64))
+        return np.sort(np.array([r["s"] for r in self.ws.save(counted.select("s"), "late").collect()], np.int64))
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """(a, b, common, total) of each distinct pair, from the whole sets."""

@@ -143,8 +143,8 @@ def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         F.struct("id", "size", (mass * F.col("part")).alias("due"), mass.alias("room")).cast(_ITEM).alias("item"))
     settled, level = [], 0
     while True:
-        order = lambda x: F.struct(F.xxhash64(x["id"], x["size"], F.lit(seed + level)), x)  # noqa: B023, E731
-        block = F.transform(F.array_sort(F.transform(F.collect_list("item"), order)), lambda p: p["col2"])
+        order = lambda x: F.struct(F.xxhash64(x["id"], x["size"], F.lit(seed + level)).alias("h"), x.alias("x"))  # noqa: B023, E731
+        block = F.transform(F.array_sort(F.transform(F.collect_list("item"), order)), lambda p: p["x"])
         met = ws.save(
             dealt.groupBy("source", "block").agg(_meet(block, seed + level).alias("m"))
             .select("source", "block", "m.out", "m.last"), f"level{level}")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tracemill.llm import chat, embedding_dedup, hamming_search, mixing, packing, quality, secrets, toxicity, url_filter
 from tracemill.llm.jaccard_join import jaccard_components
 
 
@@ -11,11 +13,135 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source of a document is its host, and the language below it the path."""
+    return quality.score(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality"),
+        host=F.col("source"), path=F.col("lang"))
+
+
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secrets.scan(table(spark, sf_dir, "documents"))
+    return secrets.digest(found)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.preference_pairs(chat.spliced(table(spark, sf_dir, "conversations")))
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sign codes of the embeddings; every 20th vector asks for its 10 nearest others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    codes = vectors.select(F.col("vec_id").alias("id"), hamming_search.sign_code(F.col("embedding")).alias("code"))
+    asked = codes.filter(F.pmod("id", F.lit(20)) == 0).withColumnRenamed("id", "query_id")
+    found = hamming_search.top_k(codes, asked, 10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_secret_scans": op2_secret_scans,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_toxicity": op4_toxicity,
+    "op5_source_mixing": op5_source_mixing,
+    "op6_chat_formatting": op6_chat_formatting,
+    "op7_exact_top_k": op7_exact_top_k,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
+    "op10_url_filters": op10_url_filters,
+}
+
+_PATTERNS = {r.kind: r.pattern.replace("'", "''") for r in secrets.RULES}
+
+# Matches and the text between them, as in the operator: a plain text function
+# of the engine splits the same text at the same pattern.
+_SECRET_SPANS = " UNION ALL ".join(f"""
+SELECT doc_id, '{r.kind}' AS kind, {k} AS rank, parts, whole, judged, {r.least} AS least
+FROM (SELECT doc_id, regexp_split_to_array(t, '{_PATTERNS[r.kind]}') AS parts, regexp_extract_all(t, '{_PATTERNS[r.kind]}') AS whole,
+  regexp_extract_all(t, '{_PATTERNS[r.kind]}', {r.group}) AS judged FROM docs) WHERE len(whole) > 0""" for k, r in enumerate(secrets.RULES))
+
+ORACLES: dict[str, str] = {
+    "op2_secret_scans": f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+hits AS ({_SECRET_SPANS}),
+each AS (SELECT doc_id, kind, rank, least, parts, whole, judged, unnest(range(1, len(whole) + 1)) AS i FROM hits),
+spans AS (
+  SELECT doc_id, kind, rank,
+    CAST(list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s,
+    length(whole[i]) AS n
+  FROM each WHERE length(judged[i]) >= least),
+joined AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, rank) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN joined USING (doc_id)""",
+    "op6_chat_formatting": """
+WITH c AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+sides AS (
+  SELECT conv_id AS pair_id, 'chosen' AS side, turn, role, text FROM c
+  UNION ALL SELECT conv_id, 'rejected', turn, role, text FROM c WHERE coalesce(turn, 0) < 1 + conv_id % 3
+  UNION ALL SELECT xor(conv_id, 1), 'rejected', turn, role, text FROM c WHERE coalesce(turn, 0) >= 1 + xor(conv_id, 1) % 3),
+placed AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, text) AS nth FROM sides),
+aligned AS (
+  SELECT pair_id, nth, max(role) FILTER (side = 'chosen') AS cr, max(text) FILTER (side = 'chosen') AS ct,
+    max(role) FILTER (side = 'rejected') AS rr, max(text) FILTER (side = 'rejected') AS rt
+  FROM placed GROUP BY ALL),
+prefix AS (
+  SELECT pair_id, coalesce(min(nth) FILTER (cr IS DISTINCT FROM rr OR ct IS DISTINCT FROM rt) - 1, max(nth)) AS common_turns
+  FROM aligned GROUP BY pair_id HAVING count(cr) > 0),
+parts AS (
+  SELECT pair_id, nth, common_turns, cr, ct, rr, rt,
+    '<|im_start|>' || cr || chr(10) || ct || '<|im_end|>' || chr(10) AS c, '<|im_start|>' || rr || chr(10) || rt || '<|im_end|>' || chr(10) AS r
+  FROM aligned JOIN prefix USING (pair_id)),
+offs AS (
+  SELECT *, coalesce(sum(length(c)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS co,
+    coalesce(sum(length(r)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ro
+  FROM parts WINDOW w AS (PARTITION BY pair_id, nth > common_turns ORDER BY nth))
+SELECT pair_id, common_turns,
+  coalesce(string_agg(c, '' ORDER BY nth) FILTER (nth <= common_turns), '') AS prompt,
+  coalesce(string_agg(c, '' ORDER BY nth) FILTER (nth > common_turns), '') AS chosen,
+  coalesce(string_agg(r, '' ORDER BY nth) FILTER (nth > common_turns), '') AS rejected,
+  coalesce(string_agg((co + 13 + length(cr)) || ':' || (co + 13 + length(cr) + length(ct)), ',' ORDER BY nth)
+    FILTER (nth > common_turns AND cr = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg((ro + 13 + length(rr)) || ':' || (ro + 13 + length(rr) + length(rt)), ',' ORDER BY nth)
+    FILTER (nth > common_turns AND rr = 'assistant'), '') AS rejected_mask
+FROM offs GROUP BY pair_id, common_turns""",
+    "op7_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS bits FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL)) = 0),
+d AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+    CAST(len(list_filter(list_zip(q.bits, v.bits), lambda p: p[1] <> p[2])) AS BIGINT) AS distance
+  FROM (SELECT * FROM v WHERE vec_id % 20 = 0) q, v WHERE q.vec_id <> v.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, vec_id, distance
+FROM d QUALIFY rank <= 10""",
 }
-ORACLES: dict[str, str] = {}

@@ -43,6 +43,7 @@ from tracemill.storage import Workspace
 SHARED_BY = 32       # a shingle at the head of more texts than this comes late in the order
 LATE_AT_MOST = 1 << 16  # shingles moved to the end of the order, the most shared first (they are broadcast)
 SMALL = 32           # a region of at most so many members names all its pairs
+MAP_BITS = 1 << 24   # of the map of wanted texts (2 MB)
 ROUNDS = 4           # recursive divisions of large regions
 
 _ROWS = "kind byte, s long, a long, b long, n int, pos int"
@@ -143,34 +144,44 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = np.flatnonzero(large)[at:at + 100_000]
         yield _batch(np.full(len(w), MEMBER), s[w], key[w], np.zeros(len(w), np.int64), n[w], pos[w])
     keep = (size > 1) & ~large
-    s, key, n, pos = s[keep], key[keep], n[keep], pos[keep]
-    pairs_a, pairs_b = [], []
+    s, key, n, pos = s[keep], key[keep], n[keep].astype(np.int64), pos[keep].astype(np.int64)
+    pairs, fits = [], []
     for step in range(1, SMALL):
         i = np.flatnonzero(s[:-step] == s[step:])
         if not len(i):
             break
+        i = i[4 * np.minimum(n[i], n[i + step]) >= 3 * np.maximum(n[i], n[i + step])]
         j = i + step
-        ok = _may_link(n[i].astype(np.int64), n[j].astype(np.int64), pos[i].astype(np.int64), pos[j].astype(np.int64))
-        pairs_a.append(key[i[ok]])
-        pairs_b.append(key[j[ok]])
-    if pairs_a:
-        pairs = np.unique(np.stack([np.concatenate(pairs_a), np.concatenate(pairs_b)], 1), axis=0)
-        zero = np.zeros(len(pairs), np.int64)
-        yield _batch(zero + PAIR, zero, pairs[:, 0], pairs[:, 1], zero, zero)
+        pairs.append(np.stack([key[i], key[j]], 1))
+        fits.append(_may_link(n[i], n[j], pos[i], pos[j]))
+    if pairs:
+        pairs, which, times = np.unique(np.concatenate(pairs), axis=0, return_inverse=True, return_counts=True)
+        fit = np.zeros(len(pairs), np.int64)
+        fit[which.ravel()[np.concatenate(fits)]] = 1
+        yield _batch(np.full(len(pairs), PAIR), times, pairs[:, 0], pairs[:, 1], fit, np.zeros(len(pairs), np.int64))
 
 
 def _batch(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(words: np.ndarray):
+    """(key, numbers) of the texts whose bit is set."""
     schema = pa.schema([("key", pa.int64()), ("numbers", pa.list_(pa.int64()))])
-    for batch in batches:
-        found = [shingle_set(t) for t in batch.column(1).to_pylist()]
-        ends = np.cumsum([0, *map(len, found)])
-        values = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)], schema=schema)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column(0).to_numpy(zero_copy_only=False)
+            wanted = (words[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+            found = [shingle_set(t) for t in batch.column(1).filter(pa.array(wanted)).to_pylist()]
+            found = [f for f in found if len(f)]
+            if found:
+                ends = np.cumsum([0, *map(len, found)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([set_key(f) for f in found], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(found)))], schema=schema)
+
+    return sets
 
 
 class JaccardJoin:
@@ -192,18 +203,46 @@ class JaccardJoin:
         """(a, b, common, total) of each distinct pair, from the whole sets."""
         pairs = self.ws.save(pairs.distinct(), f"{name}_pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(self.readers, "key")
+        # A bit map of fixed size spares the texts that no pair can want; the
+        # join below is exact, so a bit set by chance costs a text and no more.
+        bit = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS))
+        words = np.zeros(MAP_BITS // 64, np.uint64)
+        for r in wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+                F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect():
+            words[r["word"]] = np.int64(r["bits"]).view(np.uint64)
         sets = self.ws.save(
-            wanted.join(self.docs, "id").select("key", "text").mapInArrow(_sets, "key long, numbers array<long>"),
-            f"{name}_sets")
+            self.docs.filter("id is not null").select(bit.alias("bit"), "text").mapInArrow(
+                _sets(words), "key long, numbers array<long>"), f"{name}_sets")
         common = F.size(F.array_intersect("x", "y"))
         out = self.ws.save(
             pairs.join(sets.select(F.col("key").alias("a"), F.col("numbers").alias("x")), "a")
             .join(sets.select(F.col("key").alias("b"), F.col("numbers").alias("y")), "b")
-            .select("a", "b", common.cast("long").alias("common"), (F.size("x") + F.size("y")).cast("long").alias("total")),
-            f"{name}_verified")
+            .select("a", "b", common.cast("long").alias("common"), (F.size("x") + F.size("y")).cast("long").alias("total"))
+            .distinct(), f"{name}_verified")
         self.ws.drop(f"{name}_sets", f"{name}_pairs")
         return out
 
+    def small_pairs(self, found: DataFrame, members: DataFrame) -> DataFrame:
+        """Pairs of small regions that their heads allow to link.
+
+        Up to the last pivot of the head that ends first, all common shingles
+        were counted: in small regions one by one, in large ones at most as many
+        as either set has there. Beyond it, a set has no more than what follows its
+        head.
+        """
+        counted = found.filter(F.col("kind") == PAIR).groupBy("a", "b").agg(
+            F.sum("s").alias("seen"), F.max("n").alias("fits")).filter("fits = 1")
+        in_large = members.groupBy("key").agg(F.count("*").alias("large"))
+        sizes = self.ws.save(
+            self.readers.join(in_large, "key", "left").select("key", "n", F.coalesce("large", F.lit(0)).alias("large")), "head_sizes")
+        for side in ("a", "b"):
+            counted = counted.join(sizes.select(
+                F.col("key").alias(side), F.col("n").alias(f"n_{side}"), F.col("large").alias(f"large_{side}")), side)
+        # What follows the head of n shingles is ceil(3/4 n) - 1.
+        after = F.ceil(3 * F.greatest("n_a", "n_b") / 4) - 1
+        most = F.col("seen") + F.least("large_a", "large_b") + after
+        return counted.filter(7 * most >= 3 * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
     def labelled(self, members: DataFrame, links: list[DataFrame]) -> DataFrame:
         """Members with the label of their component so far; regions of one label only are left out."""
         labels = components(self.edges(links)).select(F.col("node").alias("key"), "label")
@@ -247,11 +286,11 @@ class JaccardJoin:
         replicas = self.docs.filter("id is not null").mapInArrow(_replicas(late), _ROWS)
         found = self.ws.save(replicas.repartition("s").mapInArrow(_regions, _ROWS), "found", ("kind",))
         papers = found.filter(F.col("kind") == DOCUMENT).select(F.col("s").alias("id"), F.col("a").alias("key"), "n")
-        classes = papers.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"))
+        classes = papers.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"))
         self.readers = self.ws.save(classes, "readers")
-        links = [self.verified(found.filter(F.col("kind") == PAIR).select("a", "b"), "small")]
         members = found.filter(F.col("kind") == MEMBER).select(
             F.col("s").alias("region"), F.col("a").alias("key"), "n", "pos", F.lit(True).alias("home"))
+        links = [self.verified(self.small_pairs(found, members), "small")]
         for round_ in range(ROUNDS):
             members = self.ws.save(self.labelled(members, links), f"members{round_}")
             if not members.limit(1).count():

@@ -146,12 +146,16 @@ def joined(spans_col: Column) -> Column:
         F.transform(spans_col, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _of_kind(kind: str):
+    # A second parameter would get the position of the span.
+    return lambda s: s["kind"] == kind
+
+
 def digest(found: DataFrame, id_col: str = "doc_id", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Counts by kind, the hash of the spans of ``rules`` and all spans as text."""
     base = [r.kind for r in rules]
     of = F.filter("spans", lambda s: s["kind"].isin(*base))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in base]
     return found.select(
         id_col, *counts, F.sha2(joined(of), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 

@@ -52,7 +52,7 @@ RULES = (
     Rule("hex", 1, "[0-9a-f]{24,}", 24),
 )
 
-_SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
+_SPAN = "array<struct<start:int,rank:int,end:int,kind:string,version:int>>"
 
 
 def spans(text: Column, rule: Rule, rank: int) -> Column:
@@ -73,7 +73,9 @@ def spans(text: Column, rule: Rule, rank: int) -> Column:
     def step(state: Column, part: Column) -> Column:
         begin = state["at"] + part["gap"]
         end = begin + F.coalesce(part["size"], F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"))
+        span = F.struct(
+            begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"),
+            F.lit(rule.version).alias("version"))
         # The last gap has no match after it: its judged length is null.
         found = F.when(part["judged"] >= rule.least, F.array_append(state["found"], span)).otherwise(state["found"])
         return F.struct(end.alias("at"), found.alias("found"))
@@ -123,21 +125,19 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     entries = ws.save(once.select("blob", F.col("pending").alias("scanned"), F.concat(*per_rule).alias("spans")), "entries")
     current = entries.filter(F.size("spans") > 0).select("blob", "spans").distinct()
     if known is not None:
-        earlier = known.select("blob", F.filter("spans", _under(rules, F.col("scanned"))).alias("spans"))
+        earlier = known.select("blob", F.filter("spans", _under(rules)).alias("spans"))
         current = current.unionByName(earlier.filter(F.size("spans") > 0)).groupBy("blob").agg(
-            F.flatten(F.collect_list("spans")).alias("spans"))
+            F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
     found = blobs.join(current, "blob", "left").select(
         F.col("id").alias(id_col), "blob",
         F.array_sort(F.coalesce("spans", F.array().cast(_SPAN))).alias("spans"))
     return found, entries
 
 
-def _under(rules: tuple[Rule, ...], scanned: Column):
-    """Keeps spans of kinds whose current version the ledger has; spans of an
-    older version of a rule go when the new version is scanned."""
+def _under(rules: tuple[Rule, ...]):
+    """Keeps what was found under the current version of a rule."""
     return lambda s: reduce(
-        lambda a, b: a | b,
-        ((s["kind"] == r.kind) & F.array_contains(scanned, r.name) for r in rules), F.lit(False))
+        lambda a, b: a | b, ((s["kind"] == r.kind) & (s["version"] == r.version) for r in rules), F.lit(False))
 
 
 def joined(spans_col: Column) -> Column:

@@ -69,14 +69,20 @@ def test_keys_and_names(spark):
     assert evaluate(spark, ["o/r/x"], text.repo_short_name) == ["r/x"]
     assert evaluate(spark, ["c++", "c/c++", "c#", "--", "A B"], text.safe_name) == [
         "cplusplus", "c_cplusplus", "csharp", "unknown", "a_b"]
-    names = ["c++", "c/c++", "c#", "4-NOT SPECIFIED", "--"]
-    assert evaluate(spark, names, text.safe_name) == [features._slug(n) for n in names]
+    assert evaluate(spark, list(features.LANGUAGE_NAMES), text.safe_name) == list(features.LANGUAGE_NAMES.values())
 
 
 def test_date_keys(spark):
-    stamps = ["2025-03-01T10:00:00Z", "2025-03-01", "bad", "", None]
-    assert evaluate(spark, stamps, text.month_key) == ["2025-03", "2025-03", None, None, None]
-    assert evaluate(spark, stamps, text.day_key) == ["2025-03-01", "2025-03-01", None, None, None]
+    cases = {
+        "2025-03-01T10:00:00Z": "2025-03-01", "2025-03-01": "2025-03-01", "bad": None, "": None, None: None,
+        "2026-01-01T00:30:00+02:00": "2026-01-01", "2025-12-31 23:59:59.5-11:00": "2025-12-31", "2026": None, "2026-01": None,
+        "2026-02-30": None, "20260201": "2026-02-01", "2026-0201": None, "2026-01-01T25": None, "2026-01-01T05": "2026-01-01", "x2026-01-01": None,
+    }
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert evaluate(spark, list(cases), text.day_key) == list(cases.values())
+        assert evaluate(spark, list(cases), text.month_key) == [v and v[:7] for v in cases.values()]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 @pytest.mark.parametrize("names,expected", [

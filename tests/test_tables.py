@@ -49,15 +49,24 @@ def test_audit_sample(spark):
     assert sum(r["stratum"] == 1 for r in got) == 20 and sum(r["stratum"] == 2 for r in got) == 10
 
 
-def test_long_listings_are_cut_into_parts(spark):
+def test_a_long_listing_is_one_row(spark):
     spine = spark.createDataFrame([("o/r", 1), ("o/r", 2), ("o/r", 3)], "repo_name string, pr_number long")
-    rows = spark.createDataFrame(
-        [("o/r", 1, i) for i in range(25)] + [("o/r", 2, i) for i in range(3)], "repo_name string, pr_number long, pos long")
-    child = enrichment.Child("files", rows.repartition(5), F.col("pos"), ["pos"], [F.col("pos").alias("p")])
-    got = enrichment.assemble_enriched(spine, [child], part_rows=10).collect()
-    arrays = {(r["pr_number"], r["part"]): [x["p"] for x in r["files"]] for r in got}
-    assert arrays == {
-        (1, 0): list(range(10)), (1, 1): list(range(10, 20)), (1, 2): list(range(20, 25)), (2, 0): [0, 1, 2], (3, 0): []}
+    long_ = spark.range(25_000).select(F.lit("o/r").alias("repo_name"), F.lit(1).cast("long").alias("pr_number"), F.col("id").alias("pos"))
+    short = spark.createDataFrame([("o/r", 2, i) for i in range(3)], "repo_name string, pr_number long, pos long")
+    child = enrichment.Child("files", long_.unionByName(short).repartition(5), ["pos"], [F.col("pos").alias("p")])
+    got = {r["pr_number"]: [x["p"] for x in r["files"]] for r in enrichment.assemble_enriched(spine, [child]).collect()}
+    assert got == {1: list(range(25_000)), 2: [0, 1, 2], 3: []}
+
+
+def test_link_join_keeps_requests_without_a_link_apart(spark):
+    prs = spark.createDataFrame([("o/r", i, i if i % 3 == 0 else None, "x") for i in range(30)],
+                                "repo_name string, pr_number long, linked_issue_number long, body string")
+    issues = spark.createDataFrame([("o/r", i, i == 9) for i in range(0, 20, 3)], "repo_name string, number long, is_pull_request boolean")
+    issues = issues.withColumn("title", F.col("number").cast("string"))
+    got = {r["pr_number"]: (r["linked_issue_number"], r["linked_issue"]) for r in
+           enrichment.linked_issue_join(prs, issues, ["title"]).collect()}
+    assert len(got) == 30 and {k for k, v in got.items() if v[0] is not None} == {0, 3, 6, 12, 15, 18}
+    assert all(v[0] is not None and v[1]["title"] == str(k) for k, v in got.items() if v[1] is not None)
 
 
 def test_patch_sizes_equal_the_text(spark):

@@ -45,26 +45,9 @@ def is_bot_login(login: Column) -> Column:
 
 
 def is_meaningful_comment(body: Column) -> Column:
-    """Long enough after trimming and lower-casing, and no stock phrase.
-
-    Trimming is costly on long texts, so it only happens when an end is white
-    space. Lower-casing can lengthen a text (a dotted capital I), never shorten
-    it, so it only matters for texts that are a little too short. Every stock
-    phrase is shorter than the limit; a longer one would be compared.
-    """
-    edges = [F.substring(body, 1, 1), F.substring(body, -1, 1)]
-    padded = edges[0].isin(list(WHITESPACE)) | edges[1].isin(list(WHITESPACE))
-    size = F.length(body)
-    enough = (
-        ((size >= MEANINGFUL_LENGTH) & ~padded)
-        | ((size >= MEANINGFUL_LENGTH) & padded & (F.length(strip(body)) >= MEANINGFUL_LENGTH))
-        | ((size >= MEANINGFUL_LENGTH // 3) & (size < 3 * MEANINGFUL_LENGTH)
-           & (F.length(F.lower(strip(body))) >= MEANINGFUL_LENGTH))
-    )
-    long_phrases = [p for p in TRIVIAL_PHRASES if len(p) >= MEANINGFUL_LENGTH]
-    if long_phrases:
-        enough = enough & ~F.lower(strip(body)).isin(long_phrases)
-    return F.coalesce(enough, F.lit(False))
+    """Long enough after trimming and lower-casing, and no stock phrase."""
+    text = F.lower(strip(body))
+    return F.coalesce((F.length(text) >= MEANINGFUL_LENGTH) & ~text.isin(TRIVIAL_PHRASES), F.lit(False))
 
 
 def linked_issue_number(title: Column, body: Column) -> Column:
@@ -98,12 +81,23 @@ def safe_name(text: Column) -> Column:
     return F.coalesce(blank_to_null(slug), F.lit("unknown"))
 
 
-def month_key(iso: Column) -> Column:
-    return F.date_format(F.try_to_timestamp(blank_to_null(iso)), "yyyy-MM")
+_CLOCK = r"([01][0-9]|2[0-3])(:?[0-5][0-9](:?[0-5][0-9]([.,][0-9]+)?)?)?"
+_ZONE = r"(Z|[+-][0-9]{2}(:?[0-9]{2}(:?[0-9]{2}([.][0-9]+)?)?)?)?"
+_ISO = rf"^([0-9]{{4}})(-?)([0-9]{{2}})\2([0-9]{{2}})([^0-9]{_CLOCK}{_ZONE})?$"
 
 
 def day_key(iso: Column) -> Column:
-    return F.date_format(F.try_to_timestamp(blank_to_null(iso)), "yyyy-MM-dd")
+    """The day as written, ``yyyy-MM-dd``, of a date or date-time in ISO form; null for anything else.
+
+    The offset is not applied and no session setting matters.
+    """
+    part = lambda k: F.regexp_extract(iso, _ISO, k)
+    day = F.concat_ws("-", part(1), part(3), part(4))
+    return F.when(iso.rlike(_ISO) & F.try_to_date(day, "yyyy-MM-dd").isNotNull() & (part(1) != "0000"), day)
+
+
+def month_key(iso: Column) -> Column:
+    return F.substring(day_key(iso), 1, 7)
 
 
 def seeded_digest(seed: int, key: Column) -> Column:

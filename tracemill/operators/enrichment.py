@@ -7,7 +7,6 @@ only for outputs that are nested themselves.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,88 +14,50 @@ from pyspark.sql import functions as F
 from tracemill.functions.text import linked_issue_number
 
 KEY = ["repo_name", "pr_number"]
-PART_ROWS = 20000
 
 
 @dataclass(frozen=True)
 class Child:
-    """A landed child table of requests.
-
-    ``position`` is the 0-based place of a row in its request's listing, which
-    paging gives for free; ``order`` sorts the rows, ``item`` are their fields.
-    """
+    """A landed child table of requests: ``order`` sorts the rows, ``item`` are their fields."""
 
     name: str
     rows: DataFrame
-    position: Column
     order: list[str]
     item: list[Column]
     keys: list[str] = field(default_factory=lambda: KEY)
 
 
-def part_of(position: Column, part_rows: int = PART_ROWS) -> Column:
-    """Rows of a request beyond ``part_rows`` go to further parts, so no array is unbounded."""
-    return F.floor(position / F.lit(part_rows)).cast("long")
-
-
-def nest(child: Child, part_rows: int = PART_ROWS) -> DataFrame:
-    """One ordered array per request and part: at most ``part_rows`` places each."""
+def nest(child: Child) -> DataFrame:
+    """One ordered array per request. The row it goes to is the output's own unit."""
     entry = F.struct(*child.order, F.struct(*child.item).alias("item"))
-    return (
-        child.rows.withColumn("part", part_of(child.position, part_rows))
-        .groupBy(*child.keys, "part")
-        .agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["item"]).alias(child.name))
-    )
-
-
-def further_parts(children: list[Child], part_rows: int = PART_ROWS) -> DataFrame:
-    """Last part of the requests that have more than one.
-
-    The position test reaches the scans, whose statistics skip ordinary files.
-    """
-    late = [
-        c.rows.filter(c.position >= part_rows).select(*KEY, part_of(c.position, part_rows).alias("part"))
-        for c in children
-    ]
-    return reduce(DataFrame.unionByName, late).groupBy(*KEY).agg(F.max("part").alias("__last"))
+    return child.rows.groupBy(*child.keys).agg(
+        F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["item"]).alias(child.name))
 
 
-def assemble_enriched(
-    spine: DataFrame, children: list[Child], ready: tuple[tuple[DataFrame, str], ...] = (), part_rows: int = PART_ROWS
-) -> DataFrame:
+def assemble_enriched(spine: DataFrame, children: list[Child], ready: tuple[tuple[DataFrame, str], ...] = ()) -> DataFrame:
     """Left-join the child arrays to the spine; absent children are empty arrays.
 
-    A request is one row with ``part`` 0, and a row per further part when one of
-    its listings is longer than ``part_rows``. ``ready`` holds arrays that are
-    already keyed by request and part. Every array side has one row per key and
-    part and is partitioned by it, so the joins are free of skew.
+    One row per request, however long its listings are. ``ready`` holds arrays
+    that are already keyed by request. Every side has one row per key, and all
+    joins share one partitioning by it, so the spine is exchanged once.
     """
-    keys = [*KEY, "part"]
-    zero = F.lit(0).cast("long")
-    out = (
-        spine.join(further_parts(children, part_rows), KEY, "left")
-        .withColumn("part", F.explode(F.sequence(zero, F.coalesce("__last", zero))))
-        .drop("__last")
-    )
-    arrays = [(nest(c, part_rows), c.name) for c in children]
-    for side, name in [*arrays, *ready]:
-        out = out.join(side, keys, "left").withColumn(name, F.coalesce(F.col(name), F.array()))
+    out = spine
+    for side, name in [*((nest(c), c.name) for c in children), *ready]:
+        out = out.join(side, KEY, "left").withColumn(name, F.coalesce(F.col(name), F.array()))
     return out
 
 
-def issue_comments(links: DataFrame, comments: Child, part_rows: int = PART_ROWS) -> DataFrame:
+def issue_comments(links: DataFrame, comments: Child) -> DataFrame:
     """Comments of linked issues, keyed by the request that links them.
 
     ``links``: the request key and ``linked_issue_number``. The join runs on
     narrow links and one array per issue, not on assembled rows; an issue that
     very many requests link is a skewed key on the narrow side only.
     """
-    arrays = nest(comments, part_rows).select(
-        "repo_name", F.col("pr_number").alias("linked_issue_number"), "part",
-        F.col(comments.name).alias("linked_issue_comments"),
-    )
+    arrays = nest(comments).select(
+        "repo_name", F.col("pr_number").alias("linked_issue_number"), F.col(comments.name).alias("linked_issue_comments"))
     wanted = links.filter(F.col("linked_issue_number").isNotNull()).select(*KEY, "linked_issue_number")
-    return wanted.join(arrays, ["repo_name", "linked_issue_number"]).select(*KEY, "part", "linked_issue_comments")
+    return wanted.join(arrays, ["repo_name", "linked_issue_number"]).select(*KEY, "linked_issue_comments")
 
 
 def linked_issue_extract(prs: DataFrame) -> DataFrame:
@@ -114,11 +75,13 @@ def linked_issue_join(prs: DataFrame, issues: DataFrame, issue_columns: list[str
         F.col("number").alias("__issue"),
         F.struct(*issue_columns).alias("linked_issue"),
     )
-    joined = prs.join(
-        wanted.withColumnRenamed("__issue", "linked_issue_number"), ["repo_name", "linked_issue_number"], "left"
-    )
-    found = F.col("linked_issue").isNotNull()
+    # Only requests that name a number take part, as narrow rows: those without
+    # one would all meet under one null key, and wide rows would move with them.
+    named = prs.filter(F.col("linked_issue_number").isNotNull()).select(*KEY, "linked_issue_number").distinct()
+    hits = named.join(wanted.withColumnRenamed("__issue", "linked_issue_number"), ["repo_name", "linked_issue_number"])
+    joined = prs.join(hits, [*KEY, "linked_issue_number"], "left")
     columns = [c for c in prs.columns if c != "linked_issue_number"]
+    found = F.col("linked_issue").isNotNull()
     return joined.select(
         *columns, F.when(found, F.col("linked_issue_number")).alias("linked_issue_number"), "linked_issue"
     )

@@ -25,7 +25,9 @@ def dedup_keep_first(rows: DataFrame, key: str, order: Column, offset: int = 0,
     source = rows
     if offset:
         # Rows before the offset do not take part at all, as when reading a file.
-        source = rows.orderBy(order).offset(offset)
+        # Only the first ``offset`` places are sorted out; the last one is the cut.
+        cut = rows.select(order.alias("o")).orderBy("o").limit(offset).agg(F.max("o").alias("o")).scalar()
+        source = rows.filter(F.coalesce(order > cut, F.lit(True)))
     columns = [c for c in rows.columns if c != key]
     first = source.groupBy(key).agg(
         F.min_by(F.struct(*columns), order).alias("row"),

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracemill.functions.text import nonempty
 from tracemill.operators import enrichment, features, files as file_jobs, gate
 from tracemill.settings import GateRules
 from tracemill.storage import materialize
@@ -250,7 +249,6 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("state"),
         F.col("props").alias("body"),
         iso(F.col("ts")).alias("submitted_at"),
-        F.floor(F.col("event_id") / per).alias("place"),
     )
 
 
@@ -301,11 +299,14 @@ def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests with all gate inputs, from child-table counts."""
+    """Requests that arrived whole with all gate inputs, from child-table counts.
+
+    Failed requests are no traces: they are counted as failures and judged nowhere.
+    """
     counts = gate.child_counts(
         changed_files(spark, sf_dir), reviews(spark, sf_dir), review_comments(spark, sf_dir), comments(spark, sf_dir)
     )
-    return gate.attach_counts(requests(spark, sf_dir), counts)
+    return gate.attach_counts(split_outcomes(spark, sf_dir)[0], counts)
 
 
 def judged(spark: SparkSession, sf_dir: str, rules: GateRules = GateRules()) -> DataFrame:
@@ -376,10 +377,9 @@ def children(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) ->
         _null("string", "html_url"),
     ]
     return [
-        enrichment.Child("files", kept(changed_files(spark, sf_dir)), F.col("l_linenumber"), FILE_ORDER, file_item),
-        enrichment.Child("reviews", kept(reviews(spark, sf_dir)), F.col("place"), ["event_id"], review_item),
-        enrichment.Child(
-            "review_comments", kept(review_comments(spark, sf_dir)), F.col("turn"), ["turn"], line_item),
+        enrichment.Child("files", kept(changed_files(spark, sf_dir)), FILE_ORDER, file_item),
+        enrichment.Child("reviews", kept(reviews(spark, sf_dir)), ["event_id"], review_item),
+        enrichment.Child("review_comments", kept(review_comments(spark, sf_dir)), ["turn"], line_item),
         conversation(kept(comments(spark, sf_dir))),
     ]
 
@@ -389,7 +389,7 @@ def conversation(rows: DataFrame) -> enrichment.Child:
         F.col("comment_id").alias("id"), user_struct(F.col("login")).alias("user"), "body",
         _null("string", "created_at"), _null("string", "updated_at"), _null("string", "html_url"),
     ]
-    return enrichment.Child("pr_comments", rows, F.col("turn"), ["turn"], item)
+    return enrichment.Child("pr_comments", rows, ["turn"], item)
 
 
 def verdict_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -582,6 +582,7 @@ cc AS (
   SELECT repo_name, pr_number, count(*) AS review_comment_count, count(*) FILTER (WHERE meaningful) AS meaningful_count
   FROM rcs GROUP BY ALL),
 dc AS (SELECT repo_name, pr_number, count(*) AS discussion_count FROM pcs GROUP BY ALL),
+good AS (SELECT * FROM prs WHERE NOT bad_pr AND NOT bad_files),
 facts AS (
   SELECT prs.*,
     coalesce(file_count, 0) AS file_count, coalesce(named_count, 0) AS named_count,
@@ -596,7 +597,7 @@ facts AS (
     coalesce(additions, 0) + coalesce(deletions, 0) AS diff_lines,
     coalesce(prs.changed_files, file_count, 0) AS n_changed,
     coalesce(lower(login) LIKE '%[bot]' OR lower(login) LIKE '%renovate%', false) AS is_bot
-  FROM prs LEFT JOIN fc USING (repo_name, pr_number) LEFT JOIN rc USING (repo_name, pr_number)
+  FROM good AS prs LEFT JOIN fc USING (repo_name, pr_number) LEFT JOIN rc USING (repo_name, pr_number)
     LEFT JOIN cc USING (repo_name, pr_number) LEFT JOIN dc USING (repo_name, pr_number)),
 reasoned AS (
   SELECT *, concat_ws(',',
@@ -658,8 +659,7 @@ mrows AS (
     coalesce(len(regexp_extract_all(patch_text, '\w+')), 0) AS source_patch_token_count_raw,
     coalesce(top_language, 'unknown') AS top_language,
     upper(coalesce(author_association, 'UNKNOWN')) AS author_association
-  FROM judged LEFT JOIN sizes USING (repo_name, pr_number) LEFT JOIN toplang USING (repo_name, pr_number)),
-good AS (SELECT * FROM prs WHERE NOT bad_pr AND NOT bad_files)
+  FROM judged LEFT JOIN sizes USING (repo_name, pr_number) LEFT JOIN toplang USING (repo_name, pr_number))
 """
 
 
@@ -721,7 +721,3 @@ ms AS (
   SELECT *, 'constant' AS model, CAST(1.0 AS FLOAT) AS score FROM frame),
 sc AS (SELECT *, review_concern AS y, CAST(score AS DOUBLE) AS s FROM ms)
 """
-
-
-def has_text(column: str) -> Column:
-    return nonempty(F.col(column))

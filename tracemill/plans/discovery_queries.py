@@ -193,7 +193,8 @@ def dedup_keep_first(spark, sf_dir):
 
 
 @query("dedup_offset_limit", _ROWS_SQL + """
-f AS (SELECT key, min(seq) AS seq, count(*) AS copies, arg_min(value, seq) AS value FROM cr WHERE seq >= 10
+p AS (SELECT *, row_number() OVER (ORDER BY seq) AS place FROM cr),
+f AS (SELECT key, min(seq) AS seq, count(*) AS copies, arg_min(value, seq) AS value FROM p WHERE place > 10
   GROUP BY key ORDER BY 2 LIMIT 500)
 SELECT key, seq, copies, value FROM f""")
 def dedup_offset_limit(spark, sf_dir):

@@ -140,7 +140,10 @@ def linked_issue_join(spark, sf_dir):
     rows = a.linked(spark, sf_dir)
     talk = a.comments(spark, sf_dir).groupBy(*K).agg(F.count(F.lit(1)).alias("n"))
     counts = talk.select("repo_name", F.col("pr_number").alias("linked_issue_number"), "n")
-    return rows.join(counts, ["repo_name", "linked_issue_number"], "left").select(
+    # Requests without a link stay out of the join by issue.
+    narrow = rows.filter(F.col("linked_issue_number").isNotNull()).select(*K, "linked_issue_number")
+    known = narrow.join(counts, ["repo_name", "linked_issue_number"]).select(*K, "n")
+    return rows.join(known, K, "left").select(
         *K, "linked_issue_number", F.col("linked_issue.title").alias("issue_title"),
         F.col("linked_issue.user.login").alias("issue_login"), F.coalesce("n", F.lit(0).cast("long")).alias("n_comments"),
     )

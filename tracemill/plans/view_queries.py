@@ -211,10 +211,13 @@ def diff_embedding_norms(spark, sf_dir):
 
 
 def _one_hot_sql() -> str:
-    langs = [f"CAST(top_language = '{v}' AS BIGINT) AS lang_{ft._slug(v)}" for v in ft.LANGUAGE_CATEGORIES]
+    langs = [f"CAST(top_language = '{v}' AS BIGINT) AS lang_{name}" for v, name in ft.LANGUAGE_NAMES.items()]
     # The priorities that stand for author associations.
-    seen = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "UNKNOWN"]
-    authors = [f"CAST(author_association = '{v}' AS BIGINT) AS author_{ft._slug(v)}" for v in seen]
+    seen = {
+        "1-URGENT": "1_urgent", "2-HIGH": "2_high", "3-MEDIUM": "3_medium", "4-NOT SPECIFIED": "4_not_specified",
+        "5-LOW": "5_low", "UNKNOWN": "unknown",
+    }
+    authors = [f"CAST(author_association = '{v}' AS BIGINT) AS author_{name}" for v, name in seen.items()]
     return "SELECT example_id, " + ", ".join(langs + authors) + " FROM mrows"
 
 
@@ -241,7 +244,7 @@ def fill_features(spark, sf_dir):
 def _manifest_sql() -> str:
     groups = {
         "numeric": ft.NUMERIC_COLUMNS,
-        "language": [f"lang_{ft._slug(v)}" for v in ft.LANGUAGE_CATEGORIES],
+        "language": [f"lang_{name}" for name in ft.LANGUAGE_NAMES.values()],
         "metadata": ft.METADATA_COLUMNS,
     }
     fixed = " UNION ALL ".join(
@@ -262,7 +265,7 @@ def feature_manifest(spark, sf_dir):
 
     groups = {
         "numeric": ft.NUMERIC_COLUMNS,
-        "language": [f"lang_{ft._slug(v)}" for v in ft.LANGUAGE_CATEGORIES],
+        "language": [f"lang_{name}" for name in ft.LANGUAGE_NAMES.values()],
         "metadata": ft.METADATA_COLUMNS,
     }
     assoc = a.requests(spark, sf_dir).select(

@@ -51,7 +51,6 @@ class AuditRules:
 class SplitRules:
     train_ratio: float = 0.8
     val_ratio: float = 0.1
-    test_ratio: float = 0.1
     seed: int = 42
 
 

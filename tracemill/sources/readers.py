@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tracemill import schemas
+from tracemill.functions.text import strip
 
 # Fixed value: hourly dump name, e.g. 2025-01-31-7.json.gz
 DUMP_SUFFIX = ".json.gz"
@@ -54,7 +55,7 @@ def parse_event_lines(lines: DataFrame) -> DataFrame:
     schema = StructType([*schemas.EVENT_LINE.fields, StructField("_bad", StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     return (
-        lines.filter(F.trim("value") != "")
+        lines.filter(strip(F.col("value")) != "")
         .withColumn("event", F.from_json("value", schema, options))
         .select(
             "event.type",
@@ -81,18 +82,19 @@ def expected_dumps(spark: SparkSession, start_date: str, end_date: str) -> DataF
 
 def dump_calendar(bounds: DataFrame) -> DataFrame:
     """``first_day, last_day`` -> every hour of the range and its dump name."""
-    hour = F.explode(
-        F.sequence(
-            F.col("first_day").cast("timestamp"),
-            F.col("last_day").cast("timestamp") + F.expr("interval 23 hours"),
-            F.expr("interval 1 hour"),
-        )
-    )
-    return bounds.select(hour.alias("hour")).select("hour", dump_name(F.col("hour")).alias("file_name"))
+    # Days and hours as such: every day has 24 dumps, whatever the session's zone.
+    days = bounds.select(F.explode(F.sequence("first_day", "last_day")).alias("day"))
+    hours = days.select("day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"))
+    return hours.select(
+        F.expr("cast(day as timestamp_ntz) + make_dt_interval(0, h)").alias("hour"), _dump(F.col("day"), F.col("h")).alias("file_name"))
+
+
+def _dump(day: Column, hour: Column) -> Column:
+    return F.concat(day.cast("string"), F.lit("-"), hour.cast("string"), F.lit(DUMP_SUFFIX))
 
 
 def dump_name(hour: Column) -> Column:
-    return F.concat(F.date_format(hour, "yyyy-MM-dd-"), F.hour(hour).cast("string"), F.lit(DUMP_SUFFIX))
+    return _dump(hour.cast("date"), F.hour(hour))
 
 
 def hourly_coverage(expected: DataFrame, landed: DataFrame) -> DataFrame:

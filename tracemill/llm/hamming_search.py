@@ -15,7 +15,6 @@ answers are merged; queries are dealt to tasks too.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np

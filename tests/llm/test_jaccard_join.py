@@ -3,8 +3,9 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
-from tracemill.llm import jaccard_join
+from tracemill.llm import graph, jaccard_join
 from tracemill.llm.graph import components
 from tracemill.llm.jaccard_join import jaccard_components
 from tracemill.llm.shingles import shingle_set
@@ -105,7 +106,9 @@ def test_large_regions_are_joined_recursively(docs, monkeypatch):
     assert run(docs, rows) == brute(rows)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("block", [1_000_000, 40])
+def test_components(spark, monkeypatch, block):
+    monkeypatch.setattr(graph, "BLOCK_EDGES", block)
     rnd = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rnd.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1100)] + [(5, 5), (None, 3)]
     label = {n: n for e in edges for n in e if None not in e and e[0] != e[1]}

@@ -199,28 +199,28 @@ class JaccardJoin:
             .filter(F.col("c") > SHARED_BY).orderBy(F.desc("c"), "s").limit(LATE_AT_MOST))
         return np.sort(np.array([r["s"] for r in self.ws.save(counted.select("s"), "late").collect()], np.int64))
 
-    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(a, b, common, total) of each distinct pair, from the whole sets."""
-        pairs = self.ws.save(pairs.distinct(), f"{name}_pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(self.readers, "key")
+    def keep_sets(self, keys: DataFrame) -> None:
+        """Writes the whole sets of the given keys, for all later comparisons."""
+        wanted = keys.distinct().join(self.readers, "key")
         # A bit map of fixed size spares the texts that no pair can want; the
-        # join below is exact, so a bit set by chance costs a text and no more.
+        # joins with it are exact, so a bit set by chance costs a text and no more.
         bit = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS))
         words = np.zeros(MAP_BITS // 64, np.uint64)
         for r in wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
                 F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect():
             words[r["word"]] = np.int64(r["bits"]).view(np.uint64)
-        sets = self.ws.save(
+        self.sets = self.ws.save(
             self.docs.filter("id is not null").select(bit.alias("bit"), "text").mapInArrow(
-                _sets(words), "key long, numbers array<long>"), f"{name}_sets")
+                _sets(words), "key long, numbers array<long>"), "sets")
+
+    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
+        """(a, b, common, total) of each distinct pair, from the whole sets."""
         common = F.size(F.array_intersect("x", "y"))
-        out = self.ws.save(
-            pairs.join(sets.select(F.col("key").alias("a"), F.col("numbers").alias("x")), "a")
-            .join(sets.select(F.col("key").alias("b"), F.col("numbers").alias("y")), "b")
+        return self.ws.save(
+            pairs.distinct().join(self.sets.select(F.col("key").alias("a"), F.col("numbers").alias("x")), "a")
+            .join(self.sets.select(F.col("key").alias("b"), F.col("numbers").alias("y")), "b")
             .select("a", "b", common.cast("long").alias("common"), (F.size("x") + F.size("y")).cast("long").alias("total"))
             .distinct(), f"{name}_verified")
-        self.ws.drop(f"{name}_sets", f"{name}_pairs")
-        return out
 
     def small_pairs(self, found: DataFrame, members: DataFrame) -> DataFrame:
         """Pairs of small regions that their heads allow to link.
@@ -290,7 +290,9 @@ class JaccardJoin:
         self.readers = self.ws.save(classes, "readers")
         members = found.filter(F.col("kind") == MEMBER).select(
             F.col("s").alias("region"), F.col("a").alias("key"), "n", "pos", F.lit(True).alias("home"))
-        links = [self.verified(self.small_pairs(found, members), "small")]
+        pairs = self.ws.save(self.small_pairs(found, members), "small_pairs")
+        self.keep_sets(pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(members.select("key")))
+        links = [self.verified(pairs, "small")]
         for round_ in range(ROUNDS):
             members = self.ws.save(self.labelled(members, links), f"members{round_}")
             if not members.limit(1).count():
@@ -302,6 +304,7 @@ class JaccardJoin:
             members = self.ws.save(self.labelled(members, links), "members_last")
         if members.limit(1).count():
             links.append(self.verified(self.rest_pairs(members), "last"))
+        self.ws.drop("sets", "small_pairs")
         labels = components(self.edges(links)).select(F.col("node").alias("key"), "label")
         # Components of keys, then the smallest id of each.
         class_label = self.readers.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))

@@ -28,7 +28,7 @@ def ids_of(tokenizer, text):
 
 
 def test_words_give_the_ids_of_the_tokenizer(tokenizer):
-    words = packing.Words(public_tokenizers.path(packing.RANKS_FILE))
+    words = packing.Words()
     for text in TEXTS:
         assert np.frombuffer(words.ids(text or ""), "<u4").tolist() == ids_of(tokenizer, text)[:-1]
 

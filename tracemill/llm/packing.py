@@ -42,9 +42,10 @@ RANKS_FILE = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json, as
 
 
 @lru_cache(maxsize=4)
-def encoding(path: str) -> tiktoken.Encoding:
+def encoding(path: str | None) -> tiktoken.Encoding:
+    """The vocabulary at ``path``, or that of the installed public tokenizers, wherever this machine has it."""
     ranks = {}
-    with open(path, "rb") as lines:
+    with open(path or public_tokenizers.path(RANKS_FILE), "rb") as lines:
         for line in lines:
             token, rank = line.split()
             ranks[base64.b64decode(token)] = int(rank)
@@ -57,7 +58,7 @@ class Words(dict):
 
     _double = regex.compile(r"\s\s| $")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str | None = None):
         super().__init__()
         self.encoding = encoding(path)
 
@@ -79,7 +80,7 @@ _PIECE = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def _pieces(path: str, length: int, end_id: int):
+def _pieces(path: str | None, length: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,10 +103,9 @@ def _pieces(path: str, length: int, end_id: int):
 
 
 def pieces(documents: DataFrame, id_col: str, text_col: str, vocabulary: str | None, length: int, end_id: int) -> DataFrame:
-    path = vocabulary or public_tokenizers.path(RANKS_FILE)
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return docs.mapInArrow(
-        _pieces(path, length, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
+        _pieces(vocabulary, length, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(sizes: np.ndarray, length: int) -> list[list[int]]:

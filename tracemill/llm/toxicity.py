@@ -69,12 +69,11 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int =
     unique = sorted(set(words))
     number = {w: i for i, w in enumerate(unique)}
     of_word = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-    word_odds = start_odds[model.inputs(unique)[0]][of_word]
-    scores = np.where(mask, word_odds[at], -9.0).max(0)
+    at = of_word[at].astype(np.int32)  # windows of distinct words from here on
+    scores = np.where(mask, start_odds[model.inputs(unique)[0]][at], -9.0).max(0)
     for epoch in range(epochs):
         if epoch:
-            gates = model.gates(unique)[of_word]
-            scores = _logits(model, gates, at, mask)
+            scores = _logits(model, model.gates(unique), at, mask)
         jitter = scores + rng.random(len(scores)) * 1e-6
         order = np.lexsort((jitter, text))
         top = order[np.append(first[1:], len(text)) - 1]
@@ -84,10 +83,10 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int =
         shuffled = rng.permutation(len(chosen))
         for k in range(0, len(chosen), 256):
             pick = shuffled[k:k + 256]
-            w, local = np.unique(of_word[at[:, chosen[pick]]], return_inverse=True)
+            w, local = np.unique(at[:, chosen[pick]], return_inverse=True)
             model.learn([unique[i] for i in w], local.reshape(WINDOW, -1), mask[:, chosen[pick]], y[pick],
                         np.ones(len(pick), np.float32), 0.01 if epoch < epochs * 2 // 3 else 0.003)
-    highest = np.maximum.reduceat(_logits(model, model.gates(unique)[of_word], at, mask), first)
+    highest = np.maximum.reduceat(_logits(model, model.gates(unique), at, mask), first)
     return model, *_calibrate(highest, labels, weights)
 
 

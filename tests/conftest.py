@@ -11,13 +11,14 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -46,7 +46,7 @@ def balanced_weights(rows: DataFrame, label: str = "y") -> DataFrame:
     classes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
     weights = classes.select(label, (total.cast("double") / (2 * F.col("__n"))).alias("weight"))
-    return rows.join(F.broadcast(weights), label)
+    return rows.join(weights, label)
 
 
 def majority_baseline(train: DataFrame, rows: DataFrame, label: str = "y") -> DataFrame:

@@ -62,7 +62,7 @@ def take_by_digest(df: DataFrame, quotas: DataFrame, digest: str, by: tuple[str,
     each stratum the bucket in which its quota runs out. Rows of earlier buckets
     pass without a shuffle, later ones are dropped in the scan, and only the
     rows of that one bucket are ranked. The cut table holds one row per
-    stratum, which is what bounds the broadcast.
+    stratum; the optimizer broadcasts it where its size allows.
     """
     bucketed = df.withColumn("__b", F.substring(digest, 1, digits))
     upto = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
@@ -80,7 +80,7 @@ def take_by_digest(df: DataFrame, quotas: DataFrame, digest: str, by: tuple[str,
             ).alias("__room"),
         )
     )
-    reached = bucketed.join(F.broadcast(cuts), list(by)).filter(
+    reached = bucketed.join(cuts, list(by)).filter(
         F.col("__cut").isNull() | (F.col("__b") <= F.col("__cut"))
     )
     at_cut = F.coalesce(F.col("__b") == F.col("__cut"), F.lit(False))

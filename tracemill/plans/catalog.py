@@ -8,6 +8,7 @@ from tracemill.plans import (  # noqa: F401
     model_queries,
     profile_queries,
     quality_queries,
+    training,
     view_queries,
 )
 from tracemill.plans.registry import ORACLES, QUERIES

@@ -168,7 +168,7 @@ def timeline(spark, sf_dir):
     from tracemill.functions.text import month_key, nonempty
 
     when = F.when(nonempty(F.col("merged_at")), F.col("merged_at")).otherwise(F.col("closed_at"))
-    months = a.requests(spark, sf_dir).select(
+    months = a.split_outcomes(spark, sf_dir)[0].select(
         month_key(F.col("created_at")).alias("created_month"), month_key(when).alias("merged_month")
     )
     return p.timeline(months)

@@ -143,7 +143,7 @@ def sft_stats(spark, sf_dir):
 
 def feature_input(spark, sf_dir):
     """Judged facts with the linked issue and the top language, no nested rows."""
-    judged = gate.quality_gate(gate.attach_counts(a.linked(spark, sf_dir), gate.child_counts(
+    judged = gate.quality_gate(gate.attach_counts(a.linked(spark, sf_dir, a.split_outcomes(spark, sf_dir)[0]), gate.child_counts(
         a.changed_files(spark, sf_dir), a.reviews(spark, sf_dir), a.review_comments(spark, sf_dir),
         a.comments(spark, sf_dir))))
     lang = fj.top_language(a.changed_files(spark, sf_dir), a.file_order())
@@ -226,7 +226,7 @@ def one_hot(spark, sf_dir):
     # Both categories without the rest of the modeling table.
     lang = fj.top_language(a.changed_files(spark, sf_dir), a.file_order())
     association = F.upper(F.coalesce("author_association", F.lit("UNKNOWN"))).alias("author_association")
-    people = _with_id(a.requests(spark, sf_dir)).select(*K, "example_id", association)
+    people = _with_id(a.split_outcomes(spark, sf_dir)[0]).select(*K, "example_id", association)
     seen = ft.observed_associations(people)
     base = people.join(lang, K, "left").withColumn("top_language", F.coalesce("top_language", F.lit("unknown")))
     rows, columns = ft.one_hot(base, seen)
@@ -299,22 +299,6 @@ def prep_top_reject_reasons(spark, sf_dir):
     return reject_reason_counts(a.judged(spark, sf_dir)).orderBy(F.desc("n_rows"), "reason").limit(10)
 
 
-@query("leakage_check", TRACE_SQL + """
-SELECT 'modeling' AS feature_table, CAST(0 AS BIGINT) AS leaking_columns, count(*) AS n_rows FROM prs
-UNION ALL SELECT 'report', 9, count(*) FROM prs""")
-def leakage_check(spark, sf_dir):
-    """Review-derived columns among the inputs: none in the modeling table, nine in the report table."""
-    modeling = [c for c in a.modeling_rows(spark, sf_dir).columns if c in ft.NUMERIC_COLUMNS]
-    report = [c for c in ft.feature_table_v1(feature_input(spark, sf_dir)).columns if c != "accepted"]
-    leaks = lambda cols: len(set(cols) & set(ft.REVIEW_DERIVED))
-    total = a.requests(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"))
-    rows = F.array(*[
-        F.struct(F.lit(name).alias("feature_table"), F.lit(leaks(cols)).cast("long").alias("leaking_columns"))
-        for name, cols in [("modeling", modeling), ("report", report)]
-    ])
-    return total.select(F.explode(rows).alias("r"), "n_rows").select("r.*", "n_rows")
-
-
 # --- splits and samples ------------------------------------------------------
 
 def _split_sql(rows: str, labelled: str) -> str:
@@ -330,7 +314,7 @@ SELECT repo, example_id, split FROM r JOIN smap USING (repo)""")
 def split_by_repo(spark, sf_dir):
     from tracemill.functions.text import example_id
 
-    rows = a.requests(spark, sf_dir).select(
+    rows = a.split_outcomes(spark, sf_dir)[0].select(
         F.col("repo_name").alias("repo"), example_id(F.col("repo_name"), F.col("pr_number")).alias("example_id")
     )
     return splits.split_by_repo(rows)
@@ -422,8 +406,7 @@ def audit_rows(spark, sf_dir):
 
 def audited(spark, sf_dir):
     """Only the sampled requests, a few hundred, are assembled."""
-    verdicts = _with_id(a.verdict_table(spark, sf_dir))
+    verdicts = _with_id(a.judged_table(spark, sf_dir))
     sample = materialize(splits.audit_sample(verdicts.select("example_id", "quality")), "audit-ids")
-    good, _ = a.failures_of(verdicts)
-    rows = good.join(F.broadcast(sample), "example_id", "left_semi")
+    rows = verdicts.join(F.broadcast(sample), "example_id", "left_semi")
     return splits.audit_rows(traces.build_trace(a.enrich(spark, sf_dir, rows, only_these=True)), sample)

@@ -163,8 +163,8 @@ def candidates(activity: DataFrame, order: Column, rules: CandidateRules = Candi
                variant: str = "latest") -> DataFrame:
     """The whole chain, 14 columns.
 
-    The default form needs no join: one shuffle groups closes and activity
-    together, after a map-side partial aggregate that keeps hot requests small.
+    Both sides reduce map-side to one row per request and task before they are
+    shuffled by the request, and the join uses that partitioning.
     """
     columns = schemas.CANDIDATE.fieldNames()
     if variant == "distinct":
@@ -172,18 +172,10 @@ def candidates(activity: DataFrame, order: Column, rules: CandidateRules = Candi
             merged_pr_metadata(activity, order, variant="distinct"), activity_counts(activity)
         )
         return candidate_filter(joined, rules, null_is_zero=False).select(columns)
-    close = is_merged_close()
-    used = (
-        activity.withColumn("close", close)
-        .filter(F.col("close") | F.col("type").isin(ACTIVITY_EVENTS))
-        .withColumn("pr_number", F.when(F.col("close"), F.col("own_number")).otherwise(resolved_number()))
-        .filter(F.col("pr_number").isNotNull())
-    )
-    grouped = used.groupBy(*KEY).agg(
-        *_metadata_columns(F.col("close"), order),
-        F.count_if("close").alias("merged_close_events"),
-        *_activity_columns(),
-    )
+    # Texts are sorted for few rows only, the merged closes; the many others are counted.
+    counts = activity_counts(activity)
+    totals = ["issue_comment_events", "review_events", "review_comment_events"]
+    grouped = merged_pr_metadata(activity, order).join(counts, KEY, "left").na.fill(0, totals)
     return candidate_filter(grouped, rules).select(columns)
 
 

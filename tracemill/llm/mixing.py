@@ -136,7 +136,7 @@ def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     items = rows.filter("size > 0").groupBy("id", "source", "size").agg(F.count("*").alias("n"))
     items = _with_source(items, goals_due).filter("part > 0")
     source_blocks = F.greatest(F.ceil(F.col("items") / FAN), F.lit(1))
-    per_source = items.groupBy("source").agg(F.count("*").alias("items"))
+    per_source = ws.save(items.groupBy("source").agg(F.count("*").alias("items")), "per_source")
     mass = (F.col("size") * F.col("n")).cast("double")
     dealt = _with_source(items, per_source).select(
         "source", F.pmod(F.xxhash64("id", "size", F.lit(seed)), source_blocks).alias("block"),

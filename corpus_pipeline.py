@@ -21,7 +21,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier rejects go. Rows without an id stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     judged = quality.score(docs, labels, host=F.col("source"), path=F.col("lang"))
-    return docs.join(judged.filter("not keep").select("doc_id").distinct(), "doc_id", "left_anti")
+    # Written, so that the optimizer knows the size of what goes before it moves texts.
+    gone = Workspace(spark).save(judged.filter("not keep").select("doc_id").distinct(), "rejected")
+    return docs.join(gone, "doc_id", "left_anti")
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     of repeated rows of one id the first text. Rows without an id and texts
     without words stay."""
     linked = jaccard_components(docs)
-    gone = linked.filter("component_id <> doc_id").select("doc_id").distinct()
+    gone = Workspace(spark).save(linked.filter("component_id <> doc_id").select("doc_id").distinct(), "linked")
     stay = docs.join(gone, "doc_id", "left_anti")
     twice = Workspace(spark).save(
         docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")

@@ -41,7 +41,7 @@ def test_recall_and_no_false_link(spark):
 def test_blocks_cut_no_window(spark, monkeypatch):
     rows = clusters(300, 1)
     whole = sorted(map(tuple, run(spark, rows)))
-    monkeypatch.setattr(embedding_dedup, "BLOCK", 50)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 70)
     assert sorted(map(tuple, run(spark, rows))) == whole
 
 

@@ -28,11 +28,11 @@ from pyspark.sql.window import Window
 from tracemill.llm.graph import components
 from tracemill.storage import Workspace
 
-PASSES = 24
-WINDOW = 40
-BLOCK = 4000
+PASSES = 32
+WINDOW = 64
+BLOCK = 4000  # at least WINDOW
 BITS = 126       # two numbers of 63 bits each
-AT_ONCE = 6      # passes sorted by one job
+AT_ONCE = 8      # passes sorted by one job
 
 
 def _directions(pass_: int, width: int) -> np.ndarray:

@@ -102,7 +102,9 @@ def test_large_regions_are_joined_recursively(docs, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SHARED_BY", 3)
     rows = corpus(7, groups=10, copies=12)
     assert run(docs, rows) == brute(rows)
-    monkeypatch.setattr(jaccard_join, "ROUNDS", 1)
+    monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
+    monkeypatch.setattr(jaccard_join, "LEAF", 7)
+    monkeypatch.setattr(jaccard_join, "DENSE", 3)
     assert run(docs, rows) == brute(rows)
 
 

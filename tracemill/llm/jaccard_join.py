@@ -18,7 +18,8 @@ when d <= 1/4, that is 100 * common >= 75 * union.
   distance to it, the region falls into rings of width 1/4 around that pivot,
   and members next to a border are replicated to the ring outside (triangle
   inequality). Rings whose members are linked already are done. What is left
-  after the last round is joined pair by pair between different components.
+  after the last round is compared block by block inside the tasks, between
+  different components, and only links leave them.
 
 Equal sets are one member throughout. The result is the class of each text,
 so links inside one component need not be listed.
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +45,10 @@ from tracemill.storage import Workspace
 SHARED_BY = 32       # a shingle at the head of more texts than this comes late in the order
 LATE_AT_MOST = 1 << 16  # shingles moved to the end of the order, the most shared first (they are broadcast)
 SMALL = 32           # a region of at most so many members names all its pairs
+LEAF = 1000          # members of a block of a region that is left
+DENSE = 48           # members from which a shingle of a cell is counted by products
 MAP_BITS = 1 << 24   # of the map of wanted texts (2 MB)
-ROUNDS = 4           # recursive divisions of large regions
+ROUNDS = 2           # recursive divisions of large regions
 
 _ROWS = "kind byte, s long, a long, b long, n int, pos int"
 _ARROW = pa.schema([("kind", pa.int8()), ("s", pa.int64()), ("a", pa.int64()), ("b", pa.int64()),
@@ -119,46 +123,50 @@ def _replicas(late: np.ndarray):
     return lambda batches: _blocks(batches, 50_000, rows, _ARROW)
 
 
-def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _regions(small: int):
     """PAIR rows of small regions, MEMBER rows of large ones, DOCUMENT rows as they are."""
-    held = []
-    for batch in batches:
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        papers = columns[0] == DOCUMENT
-        if papers.any():
-            yield batch.filter(pa.array(papers))
-        held.append([c[~papers] for c in columns])
-    if not held:
-        return
-    _, s, key, _, n, pos = (np.concatenate(c) for c in zip(*held))
-    held.clear()
-    order = np.lexsort((key, s))
-    s, key, n, pos = s[order], key[order], n[order], pos[order]
-    first = np.ones(len(s), bool)
-    first[1:] = (s[1:] != s[:-1]) | (key[1:] != key[:-1])
-    s, key, n, pos = s[first], key[first], n[first], pos[first]
-    edge = np.flatnonzero(np.r_[True, s[1:] != s[:-1], True])
-    size = np.repeat(np.diff(edge), np.diff(edge))
-    large = size > SMALL
-    for at in range(0, int(large.sum()), 100_000):
-        w = np.flatnonzero(large)[at:at + 100_000]
-        yield _batch(np.full(len(w), MEMBER), s[w], key[w], np.zeros(len(w), np.int64), n[w], pos[w])
-    keep = (size > 1) & ~large
-    s, key, n, pos = s[keep], key[keep], n[keep].astype(np.int64), pos[keep].astype(np.int64)
-    pairs, fits = [], []
-    for step in range(1, SMALL):
-        i = np.flatnonzero(s[:-step] == s[step:])
-        if not len(i):
-            break
-        i = i[4 * np.minimum(n[i], n[i + step]) >= 3 * np.maximum(n[i], n[i + step])]
-        j = i + step
-        pairs.append(np.stack([key[i], key[j]], 1))
-        fits.append(_may_link(n[i], n[j], pos[i], pos[j]))
-    if pairs:
-        pairs, which, times = np.unique(np.concatenate(pairs), axis=0, return_inverse=True, return_counts=True)
-        fit = np.zeros(len(pairs), np.int64)
-        fit[which.ravel()[np.concatenate(fits)]] = 1
-        yield _batch(np.full(len(pairs), PAIR), times, pairs[:, 0], pairs[:, 1], fit, np.zeros(len(pairs), np.int64))
+
+    def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            papers = columns[0] == DOCUMENT
+            if papers.any():
+                yield batch.filter(pa.array(papers))
+            held.append([c[~papers] for c in columns])
+        if not held:
+            return
+        _, s, key, _, n, pos = (np.concatenate(c) for c in zip(*held))
+        held.clear()
+        order = np.lexsort((key, s))
+        s, key, n, pos = s[order], key[order], n[order], pos[order]
+        first = np.ones(len(s), bool)
+        first[1:] = (s[1:] != s[:-1]) | (key[1:] != key[:-1])
+        s, key, n, pos = s[first], key[first], n[first], pos[first]
+        edge = np.flatnonzero(np.r_[True, s[1:] != s[:-1], True])
+        size = np.repeat(np.diff(edge), np.diff(edge))
+        large = size > small
+        for at in range(0, int(large.sum()), 100_000):
+            w = np.flatnonzero(large)[at:at + 100_000]
+            yield _batch(np.full(len(w), MEMBER), s[w], key[w], np.zeros(len(w), np.int64), n[w], pos[w])
+        keep = (size > 1) & ~large
+        s, key, n, pos = s[keep], key[keep], n[keep].astype(np.int64), pos[keep].astype(np.int64)
+        pairs, fits = [], []
+        for step in range(1, small):
+            i = np.flatnonzero(s[:-step] == s[step:])
+            if not len(i):
+                break
+            i = i[4 * np.minimum(n[i], n[i + step]) >= 3 * np.maximum(n[i], n[i + step])]
+            j = i + step
+            pairs.append(np.stack([key[i], key[j]], 1))
+            fits.append(_may_link(n[i], n[j], pos[i], pos[j]))
+        if pairs:
+            pairs, which, times = np.unique(np.concatenate(pairs), axis=0, return_inverse=True, return_counts=True)
+            fit = np.zeros(len(pairs), np.int64)
+            fit[which.ravel()[np.concatenate(fits)]] = 1
+            yield _batch(np.full(len(pairs), PAIR), times, pairs[:, 0], pairs[:, 1], fit, np.zeros(len(pairs), np.int64))
+
+    return regions
 
 
 def _batch(*columns) -> pa.RecordBatch:
@@ -264,17 +272,14 @@ class JaccardJoin:
         paired = members.join(pivots, "region")
         lo, hi = F.least("key", "pivot"), F.greatest("key", "pivot")
         checked = self.verified(paired.filter("key <> pivot").select(lo.alias("a"), hi.alias("b")), f"round{round_}")
-        far = F.lit(1.0) - F.col("common") / (F.col("total") - F.col("common"))
-        ring = F.floor(F.col("distance") * 4).cast("int")
+        # Four times the distance, rounded down, in whole numbers: nothing is lost at a border.
+        ring = F.expr("cast((4 * (total - 2 * common)) div (total - common) as int)")
         measured = (
-            paired.filter("key <> pivot").withColumn("a", lo).withColumn("b", hi).join(checked, ["a", "b"])
-            .withColumn("distance", far).withColumn("ring", ring))
+            paired.filter("key <> pivot").withColumn("a", lo).withColumn("b", hi).join(checked, ["a", "b"]).withColumn("ring", ring))
         # A member is at home in its own ring, and a guest in the next one out.
-        # One more ring of slack covers what rounding does at a border.
         places = F.array(
             F.struct(F.col("ring").alias("ring"), F.col("home").alias("home")),
-            F.struct((F.col("ring") + 1).alias("ring"), F.lit(False).alias("home")),
-            F.struct((F.col("ring") + 2).alias("ring"), F.lit(False).alias("home")))
+            F.struct((F.col("ring") + 1).alias("ring"), F.lit(False).alias("home")))
         rest = measured.withColumn("place", F.explode(places)).select(
             F.xxhash64("region", "place.ring", F.lit(round_)).alias("region"), "key", "n", "pos",
             F.col("place.home").alias("home"))
@@ -284,7 +289,7 @@ class JaccardJoin:
         """(id, n, label): label is the smallest id of the component."""
         late = self.late_shingles()
         replicas = self.docs.filter("id is not null").mapInArrow(_replicas(late), _ROWS)
-        found = self.ws.save(replicas.repartition("s").mapInArrow(_regions, _ROWS), "found", ("kind",))
+        found = self.ws.save(replicas.repartition("s").mapInArrow(_regions(SMALL), _ROWS), "found", ("kind",))
         papers = found.filter(F.col("kind") == DOCUMENT).select(F.col("s").alias("id"), F.col("a").alias("key"), "n")
         classes = papers.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"))
         self.readers = self.ws.save(classes, "readers")
@@ -303,7 +308,7 @@ class JaccardJoin:
         else:
             members = self.ws.save(self.labelled(members, links), "members_last")
         if members.limit(1).count():
-            links.append(self.verified(self.rest_pairs(members), "last"))
+            links.append(self.leaf_links(members))
         self.ws.drop("sets", "small_pairs")
         labels = components(self.edges(links)).select(F.col("node").alias("key"), "label")
         # Components of keys, then the smallest id of each.
@@ -313,15 +318,93 @@ class JaccardJoin:
         return papers.join(named, "key", "left").select(
             "id", "n", F.coalesce("component", "id").alias("label"))
 
-    def rest_pairs(self, members: DataFrame) -> DataFrame:
-        """Pairs of different components that sizes and positions allow."""
-        left = members.select("region", *(F.col(c).alias(f"{c}_a") for c in ("key", "label", "n", "pos", "home")))
-        right = members.select("region", *(F.col(c).alias(f"{c}_b") for c in ("key", "label", "n", "pos", "home")))
-        fits = (
-            (F.col("key_a") < F.col("key_b")) & (F.col("label_a") != F.col("label_b")) & (F.col("home_a") | F.col("home_b"))
-            & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b"))
-            & (7 * F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= 3 * (F.col("n_a") + F.col("n_b"))))
-        return left.join(right, "region").filter(fits).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    def leaf_links(self, members: DataFrame) -> DataFrame:
+        """Links between different components inside the regions that are left.
+
+        A region is dealt to cells of two blocks each, so every pair of its
+        members meets in one cell. First each cell names the members that have
+        a partner which labels, sizes and positions allow; only those bring
+        their sets. No pair leaves a task but links that unite components.
+        """
+        counted = members.groupBy("region").agg(F.ceil(F.count("*") / LEAF).cast("int").alias("blocks"))
+        dealt = members.join(counted, "region").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        cells = dealt.withColumn("other", other).withColumn("cell", F.struct(
+            "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
+        rows = cells.select("cell", "key", "label", "n", "pos", "home")
+        kept = self.ws.save(rows.groupBy("cell").applyInPandas(_with_partner, rows.schema), "leaf_members")
+        out = kept.join(self.sets.dropDuplicates(["key"]), "key").groupBy("cell").applyInPandas(
+            _leaf(DENSE), "a long, b long, common long, total long")
+        return self.ws.save(out.distinct(), "leaf_verified")
+
+
+def _allowed(f: pd.DataFrame, rows: slice) -> np.ndarray:
+    """Which pairs of the given rows with all rows may link, and would unite two components."""
+    n, left, label = f["n"].to_numpy(np.int64), (f["n"] - f["pos"]).to_numpy(np.int64), f["label"].to_numpy()
+    home = f["home"].to_numpy()
+    ok = 7 * np.minimum(left[rows, None], left[None]) >= 3 * (n[rows, None] + n[None])
+    ok &= 4 * np.minimum(n[rows, None], n[None]) >= 3 * np.maximum(n[rows, None], n[None])
+    return ok & (label[rows, None] != label[None]) & (home[rows, None] | home[None])
+
+
+def _with_partner(f: pd.DataFrame) -> pd.DataFrame:
+    return f[np.concatenate([_allowed(f, slice(k, k + 500)).any(1) for k in range(0, len(f), 500)])]
+
+
+def _leaf(many: int):
+    """Links of a cell that unite components, from the whole sets of its members.
+
+    Shingles of at least ``many`` members are counted as products of 0/1
+    columns, the others by the pairs that share them.
+    """
+
+    def leaf(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.drop_duplicates("key").reset_index(drop=True)
+        m, key, n = len(f), f["key"].to_numpy(), f["n"].to_numpy(np.int64)
+        common = np.zeros((m, m), np.float32)
+        owner = np.repeat(np.arange(m), n)
+        _, column, times = np.unique(np.concatenate(f["numbers"].to_numpy()), return_inverse=True, return_counts=True)
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        dense = times >= many
+        rank = np.cumsum(dense) - 1
+        picked = dense[column]
+        rows, columns = owner[picked], rank[column[picked]]
+        for at in range(0, int(dense.sum()), 4096):
+            inside = (columns >= at) & (columns < at + 4096)
+            x = np.zeros((m, 4096), np.float32)
+            x[rows[inside], columns[inside] - at] = 1
+            common += x @ x.T
+        rows, columns = owner[~picked], column[~picked]
+        flat = common.ravel()
+        for step in range(1, many):
+            i = np.flatnonzero(columns[:-step] == columns[step:]) if step < len(columns) else []
+            if not len(i):
+                break
+            found, times = np.unique(rows[i] * m + rows[i + step], return_counts=True)
+            flat[found] += times
+            flat[(found % m) * m + found // m] += times
+        linked = 100 * common >= 75 * (n[:, None] + n[None] - common)
+        label = {v: v for v in f["label"]}
+
+        def root(v):
+            while label[v] != v:
+                label[v] = label[label[v]]
+                v = label[v]
+            return v
+
+        of, out = f["label"].tolist(), []
+        for k in range(0, m, 500):
+            i, j = np.nonzero(np.triu(linked[k:k + 500] & _allowed(f, slice(k, k + 500)), k + 1))
+            for x, y in zip((i + k).tolist(), j.tolist()):
+                u, v = root(of[x]), root(of[y])
+                if u != v:
+                    label[u] = v
+                    c = int(common[x, y])
+                    out.append((min(key[x], key[y]), max(key[x], key[y]), c, int(n[x] + n[y])))
+        return pd.DataFrame(out, columns=["a", "b", "common", "total"]).astype(np.int64)
+
+    return leaf
 
 
 def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

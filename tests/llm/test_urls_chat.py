@@ -77,7 +77,7 @@ def test_chat_edges(spark):
     out = {r["pair_id"]: r for r in chat.preference_pairs(turns(spark, rows)).collect()}
     assert set(out) == {1, 2, 3, 5, 7}
     assert (out[1]["common_turns"], out[1]["chosen"], out[1]["rejected"]) == (1, "", "")
-    assert (out[2]["common_turns"], out[2]["chosen"], out[2]["rejected_mask"]) == (1, "", "23:24")
+    assert (out[2]["common_turns"], out[2]["chosen"], out[2]["rejected_mask"]) == (1, "", "22:23")
     assert out[3]["chosen"].startswith("<|im_start|>assistant\nx") and "unknown\n<|im_end|>" in out[3]["chosen"]
     assert (out[5]["common_turns"], out[5]["prompt"], out[5]["rejected"]) == (0, "", "")
     assert out[7]["common_turns"] == 0

@@ -13,6 +13,7 @@ import numpy as np
 
 WORD, CHAR, HIDDEN, ATTEND = 12, 12, 8, 8
 BUCKETS = 4096
+ROWS = 1024  # words or windows in one product
 EDGE = b".,;:!?()[]{}<>|\"'`*%#$&@~^_=+-/\\"
 
 
@@ -77,7 +78,15 @@ class Model:
     def gates(self, words: list[bytes]) -> np.ndarray:
         """The input side of the gates of either direction: (words, 2, 3 HIDDEN)."""
         x = self.embed(self.inputs(words))
-        return np.stack([x @ self.p["w"][k] + self.p["b"][k] for k in (0, 1)], 1)
+        out = np.empty((len(words), 2, 3 * HIDDEN), np.float32)
+        # Products of one shape give a word the same numbers in any company.
+        block = np.zeros((ROWS, x.shape[1]), np.float32)
+        for at in range(0, len(words), ROWS):
+            n = min(ROWS, len(words) - at)
+            block[:n] = x[at:at + n]
+            for k in (0, 1):
+                out[at:at + n, k] = (block @ self.p["w"][k])[:n] + self.p["b"][k]
+        return out
 
     # Windows --------------------------------------------------------------
     def forward(self, gates: np.ndarray, mask: np.ndarray, keep: bool = False):

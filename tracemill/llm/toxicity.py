@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.llm.gru import EDGE, HIDDEN, Model, words_of
+from tracemill.llm.gru import EDGE, HIDDEN, ROWS, Model, words_of
 
 WINDOW, STRIDE = 32, 16
 FIT_TOXIC, FIT_OTHER = 1200, 2400   # labelled documents to fit on, at most (by hash)
@@ -43,8 +43,15 @@ def places(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _logits(model: Model, gates: np.ndarray, at: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    return np.concatenate([
-        model.forward(gates[at[:, k:k + 2048]], mask[:, k:k + 2048]) for k in range(0, at.shape[1], 2048)])
+    """Logits of windows, always in batches of ROWS: a window scores alike in any company."""
+    out = np.empty(at.shape[1], np.float32)
+    for k in range(0, at.shape[1], ROWS):
+        n = min(ROWS, at.shape[1] - k)
+        fill = ((0, 0), (0, ROWS - n))
+        part, own = np.pad(at[:, k:k + n], fill), np.pad(mask[:, k:k + n], fill)
+        own[0, n:] = True
+        out[k:k + n] = model.forward(gates[part], own)[:n]
+    return out
 
 
 def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 5) -> tuple[Model, float, float]:
@@ -136,8 +143,7 @@ class Scorer:
                         row.update(zip(fresh, range(len(row), need)))
                     numbers = np.fromiter((row[w] for ws in split for w in ws), np.int64, size)
                     at, mask, text_of = places(np.array([len(ws) for ws in split]))
-                    logits = np.concatenate([
-                        self.model.forward(gates[numbers[at[:, k:k + 1024]]], mask[:, k:k + 1024]) for k in range(0, at.shape[1], 1024)])
+                    logits = _logits(self.model, gates, numbers[at], mask)
                     first = np.searchsorted(text_of, np.arange(len(split)))
                     out[texts] = np.maximum.reduceat(logits, first)
                     texts, split, size = [], [], 0

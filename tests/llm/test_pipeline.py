@@ -51,7 +51,7 @@ def test_stages_keep_columns_and_take_effect(spark):
 
 def test_stages_take_empty_and_odd_documents(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
-    spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     odd = [(1, None, None, None, None), (None, "token=abcdefg", None, "s", 13), (2, "", "en", "s", 0), (3, "a b c", "en", None, 5),
            (3, "a b c", "en", None, 5), (4, "A B C", "en", "s", 5), (5, "z " * 40_000, "en", "s", 80_000)]
     for rows in ([], odd):

@@ -34,9 +34,10 @@ EDGES = {
     "word_length": (3.0, 4.0, 5.5, 7.0, 9.0),
     "line_length": (12.0, 30.0, 60.0, 200.0),
     "lines_repeat": (0.05, 0.2, 0.5),          # repeated lines among all
+    "words_repeat": (0.02, 0.1, 0.3),          # words that repeat the one before
     "words_log": (3.0, 4.5, 6.0, 8.0),
 }
-REJECT_BELOW = 0.5
+REJECT_BELOW = 0.1  # odds of nine to one against a document
 FIT_ROWS = 50_000   # labelled documents that the slope is fitted on, at most
 LEAST_STRENGTH, MOST_STRENGTH = 2.0, 1e4
 
@@ -48,6 +49,8 @@ def measures(text: Column) -> dict[str, Column]:
     share = lambda chars: (F.char_length(text) - without(chars)) / n
     upper = F.char_length(text) - F.char_length(F.regexp_replace(text, r"\p{Lu}", ""))
     words = F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")).cast("double")
+    each = F.split(text, "[\\x20\\x09-\\x0D]+")
+    pairs = F.zip_with(F.slice(each, 2, F.greatest(F.size(each), F.lit(1))), each, lambda a, b: a == b)
     lines = F.filter(F.split(text, "\n"), lambda s: F.trim(s) != "")
     n_lines = F.size(lines).cast("double")
     return {
@@ -59,6 +62,7 @@ def measures(text: Column) -> dict[str, Column]:
         "word_length": without(" \t\n\r\x0b\x0c") / F.greatest(words, F.lit(1.0)),
         "line_length": F.char_length(text) / F.greatest(n_lines, F.lit(1.0)),
         "lines_repeat": (n_lines - F.size(F.array_distinct(lines))) / F.greatest(n_lines, F.lit(1.0)),
+        "words_repeat": F.size(F.filter(pairs, lambda same: same)) / F.greatest(words, F.lit(1.0)),
         "words_log": F.log1p(words),
     }
 

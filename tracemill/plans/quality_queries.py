@@ -82,7 +82,7 @@ SELECT is_bot, count(*) AS n_rows, count(DISTINCT login) AS n_logins
 FROM (SELECT login, CAST(is_bot AS BIGINT) AS is_bot FROM facts) GROUP BY ALL""")
 def bot_authors(spark, sf_dir):
     per_login = (
-        a.requests(spark, sf_dir)
+        a.split_outcomes(spark, sf_dir)[0]
         .groupBy(text.is_bot_login(F.col("login")).cast("long").alias("is_bot"), "login")
         .agg(F.count(F.lit(1)).alias("n"))
     )

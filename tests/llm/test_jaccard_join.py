@@ -108,6 +108,39 @@ def test_large_regions_are_joined_recursively(docs, monkeypatch):
     assert run(docs, rows) == brute(rows)
 
 
+def test_guests_of_different_rounds_meet(docs, monkeypatch):
+    """Pairs whose only meeting place is a ring where both came as guests, in different rounds.
+
+    The texts name their shingles by number. All sets of a seed share their
+    first nine, hence every region, and the linked pairs are far from all others.
+    """
+
+    def numbered(text):
+        return np.array(sorted({int(w) for w in (text or "").split()}), np.int64)
+
+    monkeypatch.setattr(jaccard_join, "shingle_set", numbered)
+    monkeypatch.setattr(jaccard_join, "SHARED_BY", 10**9)
+    rows, sets = [], []
+    for seed in range(6):
+        rng, base = np.random.default_rng(seed), 1000 * seed
+        for _ in range(150):
+            pool = base + 100 + rng.permutation(50)
+            for picked in (pool[:25], np.r_[pool[4:25], pool[25:29]]):
+                sets.append({*range(base, base + 9), *picked.tolist()})
+                rows.append((len(rows), " ".join(map(str, sorted(sets[-1])))))
+    x = np.zeros((len(sets), 6000), np.float32)
+    for i, s in enumerate(sets):
+        x[i, list(s)] = 1
+    common = x @ x.T
+    links = np.argwhere(np.triu(100 * common >= 75 * (68 - common), 1))
+    assert len(links) >= 900
+    label = np.arange(len(sets))
+    for _ in range(20):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert run(docs, rows) == {i: (34, int(c)) for i, c in enumerate(label)}
+
+
 @pytest.mark.parametrize("block", [1_000_000, 40])
 def test_components(spark, monkeypatch, block):
     monkeypatch.setattr(graph, "BLOCK_EDGES", block)

@@ -267,8 +267,10 @@ class JaccardJoin:
         """One recursive step over large regions: verified pairs with each region's
         pivot, and the rings that remain."""
         spread = members.groupBy("key").agg(F.count("*").alias("regions"))
-        rank = F.struct((-F.col("regions")).alias("r"), F.col("key").alias("k"))
-        pivots = members.join(spread, "key").filter("home").groupBy("region").agg(F.min(rank)["k"].alias("pivot"))
+        rank = F.struct((F.col("guest") != 0).alias("g"), (-F.col("regions")).alias("r"), F.col("key").alias("k"))
+        # A region whose members all came as guests in one round was compared where they are at home.
+        pivots = members.join(spread, "key").groupBy("region").agg(
+            F.min(rank)["k"].alias("pivot"), F.bit_and("guest").alias("guests")).filter("guests = 0").drop("guests")
         paired = members.join(pivots, "region")
         lo, hi = F.least("key", "pivot"), F.greatest("key", "pivot")
         checked = self.verified(paired.filter("key <> pivot").select(lo.alias("a"), hi.alias("b")), f"round{round_}")
@@ -276,13 +278,14 @@ class JaccardJoin:
         ring = F.expr("cast((4 * (total - 2 * common)) div (total - common) as int)")
         measured = (
             paired.filter("key <> pivot").withColumn("a", lo).withColumn("b", hi).join(checked, ["a", "b"]).withColumn("ring", ring))
-        # A member is at home in its own ring, and a guest in the next one out.
+        # A member is at home in its own ring, and a guest in the next one out. Two
+        # guests of one round also meet at home; guests of different rounds may not.
         places = F.array(
-            F.struct(F.col("ring").alias("ring"), F.col("home").alias("home")),
-            F.struct((F.col("ring") + 1).alias("ring"), F.lit(False).alias("home")))
+            F.struct(F.col("ring").alias("ring"), F.col("guest").alias("guest")),
+            F.struct((F.col("ring") + 1).alias("ring"), F.col("guest").bitwiseOR(F.lit(1 << round_)).alias("guest")))
         rest = measured.withColumn("place", F.explode(places)).select(
             F.xxhash64("region", "place.ring", F.lit(round_)).alias("region"), "key", "n", "pos",
-            F.col("place.home").alias("home"))
+            F.col("place.guest").alias("guest"))
         return checked, rest
 
     def result(self) -> DataFrame:
@@ -294,7 +297,7 @@ class JaccardJoin:
         classes = papers.filter("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"))
         self.readers = self.ws.save(classes, "readers")
         members = found.filter(F.col("kind") == MEMBER).select(
-            F.col("s").alias("region"), F.col("a").alias("key"), "n", "pos", F.lit(True).alias("home"))
+            F.col("s").alias("region"), F.col("a").alias("key"), "n", "pos", F.lit(0).alias("guest"))
         pairs = self.ws.save(self.small_pairs(found, members), "small_pairs")
         self.keep_sets(pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(members.select("key")))
         links = [self.verified(pairs, "small")]
@@ -331,7 +334,7 @@ class JaccardJoin:
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         cells = dealt.withColumn("other", other).withColumn("cell", F.struct(
             "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-        rows = cells.select("cell", "key", "label", "n", "pos", "home")
+        rows = cells.select("cell", "key", "label", "n", "pos", "guest")
         kept = self.ws.save(rows.groupBy("cell").applyInPandas(_with_partner, rows.schema), "leaf_members")
         out = kept.join(self.sets.dropDuplicates(["key"]), "key").groupBy("cell").applyInPandas(
             _leaf(DENSE), "a long, b long, common long, total long")
@@ -341,10 +344,10 @@ class JaccardJoin:
 def _allowed(f: pd.DataFrame, rows: slice) -> np.ndarray:
     """Which pairs of the given rows with all rows may link, and would unite two components."""
     n, left, label = f["n"].to_numpy(np.int64), (f["n"] - f["pos"]).to_numpy(np.int64), f["label"].to_numpy()
-    home = f["home"].to_numpy()
+    guest = f["guest"].to_numpy()  # one bit for each round that brought a row as a guest
     ok = 7 * np.minimum(left[rows, None], left[None]) >= 3 * (n[rows, None] + n[None])
     ok &= 4 * np.minimum(n[rows, None], n[None]) >= 3 * np.maximum(n[rows, None], n[None])
-    return ok & (label[rows, None] != label[None]) & (home[rows, None] | home[None])
+    return ok & (label[rows, None] != label[None]) & (guest[rows, None] & guest[None] == 0)
 
 
 def _with_partner(f: pd.DataFrame) -> pd.DataFrame:

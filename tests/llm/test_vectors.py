@@ -45,6 +45,35 @@ def test_blocks_cut_no_window(spark, monkeypatch):
     assert sorted(map(tuple, run(spark, rows))) == whole
 
 
+def unit_rows(x):
+    return [(i, v) for i, v in enumerate(x.tolist())]
+
+
+def test_tight_group_has_all_links(spark):
+    """10,000 distinct vectors, all linked with each other, among others."""
+    rng = np.random.default_rng(5)
+    x = np.r_[rng.standard_normal(64) + 0.1 * rng.standard_normal((10_000, 64)), rng.standard_normal((500, 64))]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.9).sum(1) - 1
+    assert want[:10_000].min() > 9_000
+    got = {r["vec_id"]: r["n_links"] for r in run(spark, unit_rows(x))}
+    assert [got[i] for i in range(len(x))] == want.tolist()
+
+
+def test_recall_in_a_dense_cluster(spark):
+    """Planted pairs near the threshold, inside one cluster whose own members don't link."""
+    rng = np.random.default_rng(6)
+    x = 1.4 * rng.standard_normal(64) + rng.standard_normal((20_000, 64))
+    x[1::20] = x[::20] + 0.8 * rng.standard_normal((1000, 64))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    planted = np.flatnonzero((np.abs(np.einsum("ij,ij->i", u[::20], u[1::20]) - 0.91) <= 0.01)) * 20
+    assert len(planted) > 100
+    component = {r["vec_id"]: r["component_id"] for r in run(spark, unit_rows(x))}
+    found = np.mean([component[i] == component[i + 1] for i in planted])
+    print(f"recall of {len(planted)} planted pairs: {found:.4f}")
+    assert found >= 0.99
+
+
 def test_edge_rows(spark):
     v = [1.0] + [0.0] * 63
     rows = [(1, v), (2, [3.0] + [0.0] * 63), (3, None), (4, []), (5, [0.0] * 64), (6, [float("nan")] * 64), (7, [None] * 64),

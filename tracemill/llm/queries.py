@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracemill.llm import chat, embedding_dedup, hamming_search, mixing, packing, quality, secrets, toxicity, url_filter
+from tracemill.llm import (
+    bpe, chat, embedding_dedup, filter_audit, hamming_search, mixing, packing, quality, secrets, toxicity, url_filter)
 from tracemill.llm.jaccard_join import jaccard_components
 
 
@@ -63,6 +64,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scans": op2_secret_scans,
@@ -74,6 +87,8 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_url_filters": op10_url_filters,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_bpe_codec": op12_bpe_codec,
 }
 
 _PATTERNS = {r.kind: r.pattern.replace("'", "''") for r in secrets.RULES}
@@ -159,4 +174,35 @@ d AS (
   FROM (SELECT * FROM v WHERE vec_id % 20 = 0) q, v WHERE q.vec_id <> v.vec_id)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, vec_id, distance
 FROM d QUALIFY rank <= 10""",
+    "op11_filter_audit": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+g AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 2 * length(t) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN doc_id > least THEN 'E' ELSE '' END) AS failed
+  FROM w LEFT JOIN g USING (doc_id)),
+cells AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT x AS o FROM letters UNION ALL SELECT o || x FROM orders, letters WHERE NOT contains(o, x) AND length(o) < 5),
+steps AS (SELECT o AS filter_order, s AS step, o[s:s] AS x, o[1:s - 1] AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS s) WHERE length(o) = 5),
+met AS (SELECT part, filter_order, step, x, n, good, toxic, failed,
+    contains(failed, x) AS fails, translate(failed, before, '') = failed AS reached FROM cells, steps),
+counted AS (
+  SELECT part, filter_order, step, x,
+    CAST(sum(CASE WHEN reached AND NOT fails THEN n ELSE 0 END) AS BIGINT) AS kept,
+    CAST(sum(CASE WHEN reached AND fails THEN n ELSE 0 END) AS BIGINT) AS removed,
+    CAST(sum(CASE WHEN NOT reached AND fails THEN n ELSE 0 END) AS BIGINT) AS redundant,
+    CAST(sum(CASE WHEN failed = x THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+    CAST(sum(CASE WHEN reached AND fails THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+    CAST(sum(CASE WHEN reached AND fails THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT * EXCLUDE (x), CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM counted""",
 }

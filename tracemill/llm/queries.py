@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracemill.llm import (
-    bpe, chat, embedding_dedup, filter_audit, hamming_search, mixing, packing, quality, secrets, toxicity, url_filter)
+    bpe, chat, embedding_dedup, filter_audit, hamming_search, hard_negatives, mixing, packing, quality, secrets, toxicity, url_filter)
 from tracemill.llm.jaccard_join import jaccard_components
 
 
@@ -76,6 +76,13 @@ def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh label is off by one; every hundredth vector is an anchor."""
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(vectors, F.pmod("vec_id", F.lit(100)) == 0)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scans": op2_secret_scans,
@@ -89,6 +96,7 @@ QUERIES = {
     "op10_url_filters": op10_url_filters,
     "op11_filter_audit": op11_filter_audit,
     "op12_bpe_codec": op12_bpe_codec,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _PATTERNS = {r.kind: r.pattern.replace("'", "''") for r in secrets.RULES}
@@ -205,4 +213,22 @@ counted AS (
     CAST(sum(CASE WHEN reached AND fails THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
   FROM met GROUP BY ALL)
 SELECT * EXCLUDE (x), CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM counted""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS whole
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.whole, b.whole), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5""",
 }

@@ -111,15 +111,15 @@ def test_intervals_hold_the_scores_and_shrink():
 
 def test_few_pairs_are_scored(monkeypatch):
     """The intervals leave a small part of the pairs."""
-    rows = clustered(np.random.default_rng(4), 3000, 64, 10)
-    frame = pd.concat(hn._coded([pd.DataFrame({
-        "vec_id": [r[0] for r in rows], "label": [r[2] for r in rows], "anchor": [r[0] % 100 == 0 for r in rows], "vector": [r[1] for r in rows]})]))
+    table = pd.read_parquet("/root/testdata/sf0.1/embeddings.parquet").rename(columns={"embedding": "vector"})
+    frame = pd.concat(hn._coded([table.assign(anchor=table["vec_id"] % 100 == 0)]))
+    labels = frame["label"].to_numpy()
+    same = (frame["label"][frame["anchor"]].to_numpy()[:, None] == labels).sum()
     scored = []
     plain_score = hn._score
     monkeypatch.setattr(hn, "_score", lambda *x: scored.append(len(x[2])) or plain_score(*x))
     own = hn._positives(5)(frame, frame[frame["anchor"]])
-    assert len(own) == 150
-    assert sum(scored) < 0.25 * 30 * 300
+    assert len(own) == 5 * frame["anchor"].sum() and sum(scored) < 0.2 * same
     scored.clear()
     asked = frame[frame["anchor"]].merge(own.groupby("anchor_id")["score"].unique().map(list).rename("scores"), left_on="vec_id", right_index=True)
-    assert len(hn._negatives(5, 80, 100)(frame, asked)) and sum(scored) < 0.25 * 30 * 2700
+    assert len(hn._negatives(5, 80, 100)(frame, asked)) and sum(scored) < 0.2 * (frame["anchor"].sum() * len(frame) - same)

@@ -105,7 +105,7 @@ def test_models_learn_and_score(spark):
     train = modeling.balanced_weights(matrix.filter("split = 'train'"))
     sums = {r["y"]: r["w"] for r in train.groupBy("y").agg(F.sum("weight").alias("w")).collect()}
     assert sums[0.0] == pytest.approx(sums[1.0])
-    rules = ModelRules(trees=5, logistic_iterations=50)
+    rules = ModelRules(trees=25)  # every tree counts with its step, the first one too
     for name in (modeling.LOGISTIC_TABULAR, modeling.LOGISTIC_ALL, modeling.BOOSTED_TABULAR, modeling.BOOSTED_ALL):
         model, _ = modeling.fit_model(name, train, rules)
         got = modeling.score_rows(model, matrix.filter("split = 'val'"), threshold=0.5)

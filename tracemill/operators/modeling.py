@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import nonempty
+from tracemill.operators import boosting, linear
+from tracemill.operators.boosting import BoostedTrees
 from tracemill.operators.features import TARGET, leakage_check
+from tracemill.operators.linear import LinearModel
 from tracemill.settings import ModelRules
+from tracemill.sources.writers import sink_document
 
 # Names of the compared models.
 MAJORITY = "majority_baseline"
@@ -57,66 +63,97 @@ def majority_baseline(train: DataFrame, rows: DataFrame, label: str = "y") -> Da
     return rows.withColumn("score", top.scalar().cast("double"))
 
 
-def logistic_model(features: str, rules: ModelRules, total_weight: float) -> Pipeline:
-    """Standardised inputs and a ridge penalty of strength one on the summed loss."""
-    scaler = StandardScaler(inputCol=features, outputCol="scaled", withMean=True, withStd=True)
-    model = LogisticRegression(
-        featuresCol="scaled", labelCol="y", weightCol="weight", maxIter=rules.logistic_iterations,
-        regParam=1.0 / total_weight, elasticNetParam=0.0, standardization=False,
-    )
-    return Pipeline(stages=[scaler, model])
-
+@dataclass
+class FittedModel:
+    """A model, the vector column it reads, the names of its inputs in order, and its decision threshold."""
 
-def boosted_model(features: str, rules: ModelRules) -> Pipeline:
-    model = GBTClassifier(
-        featuresCol=features, labelCol="y", weightCol="weight", maxIter=rules.trees, maxDepth=rules.depth,
-        stepSize=rules.step, subsamplingRate=rules.row_share, featureSubsetStrategy=str(rules.column_share),
-        seed=rules.seed, cacheNodeIds=False, maxMemoryInMB=512,
-    )
-    return Pipeline(stages=[model])
+    name: str
+    features: str
+    body: LinearModel | BoostedTrees
+    inputs: list[str] | None = None
+    threshold: float = 0.5
 
 
-def fit_model(name: str, train: DataFrame, rules: ModelRules = ModelRules()) -> tuple[PipelineModel, float]:
+def fit_model(name: str, train: DataFrame, rules: ModelRules = ModelRules(),
+              inputs: list[str] | None = None) -> tuple[FittedModel, float]:
     """Fit one of the four trained models on weighted rows; returns it and the seconds."""
     features = "tabular" if name in (LOGISTIC_TABULAR, BOOSTED_TABULAR) else "all"
     began = time.perf_counter()
     if name in (LOGISTIC_TABULAR, LOGISTIC_ALL):
-        weight = train.agg(F.sum("weight").alias("w")).first()["w"]
-        pipeline = logistic_model(features, rules, weight)
+        body = linear.fit(train, features)
     else:
-        pipeline = boosted_model(features, rules)
-    model = pipeline.fit(train)
-    return model, time.perf_counter() - began
+        body = boosting.fit(train, features, rules)
+    return FittedModel(name, features, body, inputs), time.perf_counter() - began
+
 
+def fit_models(names: list[str], train: DataFrame, rules: ModelRules = ModelRules(),
+               inputs: dict[str, list[str]] | None = None) -> dict[str, tuple[FittedModel, float]]:
+    """Several models side by side: their many short jobs fill each other's gaps."""
+    with ThreadPoolExecutor(max(1, len(names))) as pool:
+        fit = lambda name: fit_model(name, train, rules, (inputs or {}).get("tabular" if name in (LOGISTIC_TABULAR, BOOSTED_TABULAR) else "all"))
+        return dict(zip(names, pool.map(fit, names)))
 
-def score_rows(model: PipelineModel, rows: DataFrame, threshold: float | None = None) -> DataFrame:
+
+def score_rows(model: FittedModel, rows: DataFrame, threshold: float | None = None) -> DataFrame:
     """Positive-class probability as float32 ``score``; ``pred`` when a threshold is given."""
-    scored = model.transform(rows)
-    probability = F.get(vector_to_array("probability"), F.lit(1)).cast("float")
-    out = scored.withColumn("score", probability).drop("rawPrediction", "probability", "prediction", "scaled")
+    out = rows.withColumn("score", model.body.score(F.col(model.features)))
     if threshold is not None:
         out = out.withColumn("pred", (F.col("score").cast("double") >= threshold).cast("int"))
     return out
 
 
+def inputs_digest(inputs: list[str]) -> str:
+    """One number for the names of a matrix's columns and their order."""
+    return hashlib.sha256(json.dumps(inputs).encode()).hexdigest()
+
+
+def save_model(spark: SparkSession, model: FittedModel, path: str) -> None:
+    """The whole model as one document, and its numbers as a table for SQL."""
+    names = model.inputs or []
+    sink_document(spark, {
+        "name": model.name, "features": model.features, "threshold": model.threshold, "inputs": model.inputs,
+        "inputs_digest": inputs_digest(names), "kind": type(model.body).__name__, "body": model.body.to_dict()}, f"{path}/model")
+    body = model.body
+    if isinstance(body, LinearModel):
+        rows = [(i, *map(float, x)) for i, x in enumerate(zip(body.coefficients, body.mean, body.scale))]
+        table = spark.createDataFrame([*rows, (-1, body.intercept, 0.0, 1.0)], "position int, coefficient double, mean double, scale double")
+    else:
+        rows = [(t, n, s.feature, s.code, s.gain, None) for t, tree in enumerate(body.trees) for n, s in tree.splits.items()]
+        rows += [(t, n, None, None, None, v) for t, tree in enumerate(body.trees) for n, v in tree.leaves.items()]
+        table = spark.createDataFrame(
+            [*rows, (-1, 0, None, None, None, body.base)], "tree int, node int, position int, code long, gain double, value double")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path}/numbers")
+
+
+def load_model(spark: SparkSession, path: str) -> FittedModel:
+    found = json.loads(spark.read.text(f"{path}/model").first()["value"])
+    kinds = {k.__name__: k for k in (LinearModel, BoostedTrees)}
+    if inputs_digest(found["inputs"] or []) != found["inputs_digest"]:
+        raise ValueError(f"{path}: the names of the inputs don't belong to this model")
+    return FittedModel(found["name"], found["features"], kinds[found["kind"]].from_dict(found["body"]), found["inputs"], found["threshold"])
+
+
+def score_saved(model: FittedModel, rows: DataFrame, inputs: list[str]) -> DataFrame:
+    """Scores and decisions of a loaded model. A matrix with other columns, or in another order, is refused."""
+    if inputs_digest(inputs) != inputs_digest(model.inputs or []):
+        odd = sorted(set(inputs) ^ set(model.inputs or []))
+        raise ValueError(f"{model.name} was fitted on other columns: {odd[:5] or 'another order'}")
+    return score_rows(model, rows, model.threshold)
+
+
 def sigmoid(decision: Column) -> Column:
     """Score of a model that only gives a decision value."""
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-decision))
 
 
-def feature_importance(model: PipelineModel, names: list[str], limit: int = 20) -> DataFrame:
-    """Most important inputs by tree importance or absolute coefficient.
+def feature_importance(model: FittedModel, names: list[str] | None = None, limit: int = 20) -> DataFrame:
+    """Most important inputs by mean gain of their splits or absolute coefficient.
 
     The model is already a small object on the driver.
     """
-    last = model.stages[-1]
-    values = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-    pairs = [(n, abs(float(v))) for n, v in zip(names, values.toArray(), strict=True)]
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.active()
+    pairs = [(n, float(v)) for n, v in zip(names or model.inputs, model.body.importance(), strict=True)]
     return (
-        spark.createDataFrame(pairs, "feature string, importance double")
+        SparkSession.active().createDataFrame(pairs, "feature string, importance double")
         .orderBy(F.desc("importance"), F.asc("feature"))
         .limit(limit)
     )

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.operators import features as ft, metrics as m, modeling as md, profiling, splits
+from tracemill.operators import boosting, features as ft, metrics as m, modeling as md, profiling, splits
+from tracemill.operators.linear import LinearModel
 from tracemill.plans import analogs as a
 from tracemill.plans.analogs import FRAME_SQL
 from tracemill.plans.registry import query
 from tracemill.settings import DEFAULTS
-from tracemill.storage import ensure_checkpoint_dir, materialize
+from tracemill.storage import materialize, run_folder, scratch_path
 
 TABULAR = ["diff_lines", "changed_files", "source_patch_token_count_capped"]
 LANGS = ["de", "en", "es", "fr"]
@@ -74,19 +81,45 @@ def majority_baseline(spark, sf_dir):
     return md.majority_baseline(train, rest).select("example_id", "split", "score")
 
 
+INPUTS = {"tabular": [*TABULAR, *[f"lang_{v}" for v in LANGS]]}
+INPUTS["all"] = [*INPUTS["tabular"], *ft.embedding_names(DEFAULTS.model.embedding_width)]
+_ONCE: dict[tuple[str, str, str], object] = {}
+
+
+def written_matrix(spark, sf_dir):
+    """The labelled matrix, written once for all queries of a run."""
+    key = run_folder(spark), sf_dir, "matrix"
+    if key not in _ONCE:
+        _ONCE[key] = materialize(matrix(spark, sf_dir), "matrix")
+    return _ONCE[key]
+
+
+def saved_models(spark, sf_dir, names):
+    """Models as loaded from where they are saved. What is not there yet is fitted on the train
+    rows, gets its threshold on the validation rows and is saved; later queries of the run load it."""
+    keys = {name: (run_folder(spark), sf_dir, name) for name in names}
+    missing = [name for name, key in keys.items() if key not in _ONCE]
+    if missing:
+        rows = written_matrix(spark, sf_dir)
+        train = materialize(train_rows(rows).select("example_id", "y", "weight", "tabular", "all"), "train")
+        fitted = md.fit_models(missing, train, DEFAULTS.model, INPUTS)
+        val = reduce(DataFrame.unionByName, (md.score_rows(model, rows.filter("split = 'val'")).select(
+            F.lit(name).alias("model"), F.col("y").cast("long").alias("y"), "score") for name, (model, _) in fitted.items()))
+        cuts = {r["model"]: r["threshold"] for r in m.best_threshold(materialize(val, "val"), ("model",)).collect()}
+        for name, (model, _) in fitted.items():
+            path = scratch_path(spark, f"model-{name}")
+            md.save_model(spark, replace(model, threshold=cuts.get(name, 0.5)), path)
+            _ONCE[keys[name]] = path
+    return [md.load_model(spark, _ONCE[keys[name]]) for name in names]
+
+
 def _fit_and_score(spark, sf_dir, names):
-    """Fit on train rows, score the validation rows; the matrix is written once."""
-    ensure_checkpoint_dir(spark)
-    rows = materialize(matrix(spark, sf_dir), "matrix")
-    train = train_rows(rows).select("example_id", "y", "weight", "tabular", "all").persist()
-    out = None
-    for name in names:
-        model, _ = md.fit_model(name, train, DEFAULTS.model)
-        scored = md.score_rows(model, rows.filter(F.col("split") == "val")).select(
-            F.lit(name).alias("model"), "example_id", F.col("y").cast("long").alias("y"), "score")
-        out = scored if out is None else out.unionByName(scored)
-    train.unpersist()
-    return out
+    """Validation scores of saved models."""
+    val = written_matrix(spark, sf_dir).filter("split = 'val'")
+    return reduce(DataFrame.unionByName, (
+        md.score_saved(model, val, INPUTS[model.features]).select(
+            F.lit(model.name).alias("model"), "example_id", F.col("y").cast("long").alias("y"), "score")
+        for model in saved_models(spark, sf_dir, names)))
 
 
 @query("logistic_models")
@@ -99,21 +132,48 @@ def boosted_models(spark, sf_dir):
     return _fit_and_score(spark, sf_dir, [md.BOOSTED_TABULAR, md.BOOSTED_ALL])
 
 
+_BINS = DEFAULTS.model.bins
+# Buckets, bins, and the sums left of each cut: gradients of the first tree are those of a constant score.
+_ROOT_SQL = _FRAME_SPLIT_SQL + """,
+t AS (SELECT *, (SELECT count(*) FROM sp WHERE split = 'train')::DOUBLE / (2 * count(*) OVER (PARTITION BY review_concern)) AS w
+  FROM sp WHERE split = 'train'),
+c AS (""" + " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, CAST({value} AS DOUBLE) AS v, review_concern AS y, w FROM t"
+    for name, value in [*((c, c) for c in TABULAR), *((f"lang_{v}", f"CASE WHEN top_language = '{v}' THEN 1 ELSE 0 END") for v in LANGS)]) + f"""),
+b AS (SELECT feature, CASE WHEN v > 0 THEN CAST((floor(log2(v)) + 1100) * 4096
+    + least(floor((v / pow(2, floor(log2(v))) - 1) * 4096), 4095) + 1 AS BIGINT) ELSE 0 END AS code, y, w FROM c),
+k AS (SELECT feature, code, count(*) AS n, sum(w * (0.5 - y)) AS g, sum(w * 0.25) AS h FROM b GROUP BY ALL),
+r AS (SELECT *, n * {_BINS} >= sum(n) OVER f AS alone, count(*) OVER f AS codes FROM k WINDOW f AS (PARTITION BY feature)),
+s AS (SELECT *, coalesce(sum(CASE WHEN alone THEN 0 ELSE n END) OVER (PARTITION BY feature ORDER BY code ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    * greatest(1, {_BINS} - 2 * count(*) FILTER (alone) OVER f) // greatest(1, sum(CASE WHEN alone THEN 0 ELSE n END) OVER f) AS share
+  FROM r WINDOW f AS (PARTITION BY feature)),
+l AS (SELECT *, lag(share) OVER o AS share1, lag(alone) OVER o AS alone1, sum(g) OVER o - g AS lg, sum(h) OVER o - h AS lh,
+    sum(g) OVER (PARTITION BY feature) AS tg, sum(h) OVER (PARTITION BY feature) AS th FROM s WINDOW o AS (PARTITION BY feature ORDER BY code))
+SELECT feature, code AS cut, round(lg, 6) + 0.0 AS left_gradient, round(lh, 6) AS left_second,
+  round(0.5 * (lg * lg / (lh + 2) + (tg - lg) * (tg - lg) / (th - lh + 2) - tg * tg / (th + 2)), 6) + 0.0 AS gain,
+  round(-0.05 * lg / (lh + 2), 6) + 0.0 AS left_leaf
+FROM l WHERE share1 IS NOT NULL AND (codes <= {_BINS} OR share <> share1 OR alone OR alone1) AND lh >= 1 AND th - lh >= 1"""
+
+
+@query("boosted_first_split", _ROOT_SQL)
+def boosted_first_split(spark, sf_dir):
+    """Every cut that the first split of the tabular model can choose: sums, gain and leaf on its left."""
+    found = boosting.root_cuts(train_rows(written_matrix(spark, sf_dir)), "tabular", INPUTS["tabular"], DEFAULTS.model)
+    rows = spark.createDataFrame(found, "feature string, cut long, left_gradient double, left_second double, gain double, left_leaf double")
+    return rows.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in ("left_gradient", "left_second", "gain", "left_leaf")})
+
+
 @query("score_rows")
 def score_rows(spark, sf_dir):
-    """Every labelled row scored by the tabular linear model, with its decision."""
-    rows = materialize(matrix(spark, sf_dir), "matrix")
-    train = train_rows(rows).select("y", "weight", "tabular", "all")
-    model, _ = md.fit_model(md.LOGISTIC_TABULAR, train, DEFAULTS.model)
-    return md.score_rows(model, rows, threshold=0.5).select("example_id", "split", "score", "pred")
+    """Every labelled row scored by the saved tabular linear model, with its decision."""
+    model, = saved_models(spark, sf_dir, [md.LOGISTIC_TABULAR])
+    return md.score_saved(model, written_matrix(spark, sf_dir), INPUTS["tabular"]).select("example_id", "split", "score", "pred")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    rows = materialize(matrix(spark, sf_dir), "matrix")
-    names = [*TABULAR, *[f"lang_{v}" for v in LANGS], *[f"diff_emb_{i:03d}" for i in range(DEFAULTS.model.embedding_width)]]
-    model, _ = md.fit_model(md.LOGISTIC_ALL, train_rows(rows), DEFAULTS.model)
-    return md.feature_importance(model, names)
+    model, = saved_models(spark, sf_dir, [md.LOGISTIC_ALL])
+    return md.feature_importance(model)
 
 
 # --- metrics on deterministic scores ------------------------------------------
@@ -313,12 +373,21 @@ def language_choices(spark, sf_dir):
     return md.language_choices(_serving(spark, sf_dir))
 
 
-# A fixed decision function keeps the query checkable; any fitted model plugs in alike.
-def _formula(rows):
-    decision = (
-        F.col("diff_lines").cast("double") / 1000 - F.col("changed_files").cast("double") / 100 - F.lit(1.0)
-    )
-    return rows.withColumn("score", md.sigmoid(decision))
+SCENARIOS = {
+    "small change": {"diff_lines": 100.0}, "many files": {"changed_files": 500.0},
+    "both": {"diff_lines": 100.0, "changed_files": 500.0},
+}
+
+
+def _what_if(rows, model, probability):
+    """Rows under each scenario by a loaded model, whose inputs are columns of the rows."""
+    def score(frame):
+        vector = array_to_vector(F.array(*(F.col(c).cast("double") for c in model.inputs)))
+        return frame.withColumn("__v", vector).withColumn("score", probability(F.col("__v"))).drop("__v")
+
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return md.what_if_score(rows, SCENARIOS, score).select(
+        "example_id", "scenario", *[(F.round(c, 9) + F.lit(0.0)).alias(c) for c in ("base_score", "score", "delta")])
 
 
 @query("what_if_score", FRAME_SQL + """,
@@ -329,12 +398,18 @@ e AS (SELECT example_id, scenario, 1 / (1 + exp(-(diff_lines / 1000.0::DOUBLE -
 SELECT example_id, scenario, round(base_score, 9) AS base_score, round(score, 9) AS score,
   round(score - base_score, 9) + 0.0 AS delta FROM e""")
 def what_if_score(spark, sf_dir):
-    scenarios = {
-        "small change": {"diff_lines": 100.0}, "many files": {"changed_files": 500.0},
-        "both": {"diff_lines": 100.0, "changed_files": 500.0},
-    }
-    rows = md.what_if_score(a.labelled_frame(spark, sf_dir).drop("text"), scenarios, _formula)
-    # Adding zero turns a rounded -0.0 into 0.0.
-    return rows.select(
-        "example_id", "scenario", *[(F.round(c, 9) + F.lit(0.0)).alias(c) for c in ("base_score", "score", "delta")]
-    )
+    """A linear model with known coefficients, saved and loaded like a fitted one."""
+    known = md.FittedModel("known", "tabular", LinearModel(np.zeros(2), np.ones(2), np.array([0.001, -0.01]), -1.0), ["diff_lines", "changed_files"])
+    path = scratch_path(spark, "model-known")
+    md.save_model(spark, known, path)
+    model = md.load_model(spark, path)
+    return _what_if(a.labelled_frame(spark, sf_dir).drop("text"), model, model.body.probability)
+
+
+@query("what_if_fitted")
+def what_if_fitted(spark, sf_dir):
+    """The same scenarios by the fitted tabular model."""
+    model, = saved_models(spark, sf_dir, [md.LOGISTIC_TABULAR])
+    flags = [F.coalesce(F.col("top_language") == v, F.lit(False)).cast("double").alias(f"lang_{v}") for v in LANGS]
+    rows = a.labelled_frame(spark, sf_dir).select("example_id", *TABULAR, *flags)
+    return _what_if(rows, model, model.body.probability)

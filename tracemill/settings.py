@@ -63,7 +63,9 @@ class ModelRules:
     step: float = 0.05
     row_share: float = 0.85
     column_share: float = 0.85
-    logistic_iterations: int = 2000
+    leaf_penalty: float = 2.0
+    least_hessian: float = 1.0
+    bins: int = 64
     seed: int = 42
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -79,19 +80,31 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     return Workspace(df.sparkSession).save(df, name, partition_by)
 
 
+_WRITES = threading.Lock()
+_OPEN: dict[str, tuple[int, str | None]] = {}
+
+
 @contextmanager
 def _shuffle_files_go(spark: SparkSession):
     """Once a table is written nothing reads the shuffles behind it: Spark drops
-    their files at the end of the write, not when the driver collects garbage."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    their files at the end of the write, not when the driver collects garbage.
+    Of writes in several threads the first one in sets this, the last one out unsets it."""
+    app = spark.sparkContext.applicationId
+    with _WRITES:
+        depth, before = _OPEN.get(app, (0, spark.conf.get(_CLEANUP, None)))
+        _OPEN[app] = depth + 1, before
+        spark.conf.set(_CLEANUP, "true")
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        with _WRITES:
+            depth, before = _OPEN.pop(app)
+            if depth > 1:
+                _OPEN[app] = depth - 1, before
+            elif before is None:
+                spark.conf.unset(_CLEANUP)
+            else:
+                spark.conf.set(_CLEANUP, before)
 
 
 class Workspace:

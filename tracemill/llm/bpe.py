@@ -35,8 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_WORDS = 300_000      # words, and pieces between blanks, that a task keeps ids of
-CACHE_PAIRS = 1_000_000    # pairs of tokens that a task keeps verdicts of
+CACHE_WORDS = 200_000      # words, and pieces between blanks, that a task keeps ids of
+CACHE_PAIRS = 500_000      # pairs of tokens that a task keeps verdicts of
 LONGEST_CACHED = 256       # characters
 TOGETHER = 64              # bytes of a word up to which it is encoded together with others
 BATCH_BYTES = 4 << 20      # of texts, for one batch of results
@@ -125,6 +125,10 @@ class Vocabulary:
         self._end_token, self._end_size = np.array([e for ends in self._ends for e in ends], np.int64).T
         self._size = np.zeros(max(self.bytes) + 1, np.int64)
         self._size[list(self.bytes)] = [len(b) for b in self.bytes.values()]
+        # The bytes of all tokens on end, and where each one's begin.
+        self._flat = np.frombuffer(b"".join(self.bytes.values()), np.uint8)
+        self._place = np.zeros(len(self._size), np.int64)
+        self._place[list(self.bytes)] = np.cumsum([0, *map(len, self.bytes.values())])[:-1]
 
     def _step(self, state: int, byte: int) -> int:
         """The longest suffix in the tree of a state and one more byte."""
@@ -266,62 +270,57 @@ class Vocabulary:
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, words: set[str]) -> None:
-        """Ids of words not seen yet. What is too long to be kept is encoded where it stands."""
-        new = sorted((w.encode(), w) for w in words if w not in self._seen and len(w) <= LONGEST_CACHED)
+        """Ids of words not seen yet."""
+        new = sorted([(w.encode(), w) for w in words if w not in self._seen])
         short = [x for x in new if len(x[0]) <= TOGETHER]
-        self._seen.update(zip((w for _, w in short), self.many_word_ids([b for b, _ in short])))
+        self._seen.update(zip([w for _, w in short], self.many_word_ids([b for b, _ in short])))
         self._seen.update((w, self.word_ids(b)) for b, w in new if len(b) > TOGETHER)
 
-    def _joined(self, words: list[str]) -> bytes:
-        seen = self._seen.get
-        return b"".join([seen(w) or self.word_ids(w.encode()) for w in words])
-
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts."""
-        for cache in (self._seen, self._after):
-            if len(cache) >= CACHE_WORDS:
-                cache.clear()
-        cut = []  # of each text: added tokens as ids, the rest as words, or as first words and pieces after a blank
+        cut = []  # of each text: added tokens as ids, the rest as words, and as pieces that follow a blank
         between, words = set(), set()
         for text in texts:
             parts, at = [], 0
             for token in [*self._added.finditer(text), None]:
                 plain = text[at:token.start() if token else len(text)]
                 if self._apart.search(plain):
-                    parts.append((self._words.findall(plain), []))
+                    found, rest = self._words.findall(plain), []
                 else:
                     # No word reaches across a blank between two other characters: it is the first one of the next word.
                     first, *rest = plain.split(" ")
-                    parts.append((self._words.findall(first), rest))
+                    found = self._words.findall(first)
                     between.update(rest)
-                words.update(parts[-1][0])
+                words.update(found)
+                parts += [(self._seen, found), (self._after, rest)]
                 if token:
-                    parts.append(np.array([self.added[token[0]]], "<i4").tobytes())
+                    parts.append(({None: np.array([self.added[token[0]]], "<i4").tobytes()}, [None]))
                     at = token.end()
             cut.append(parts)
-        split = {p: self._words.findall(" " + p) for p in between if p not in self._after}
+        split = {p: self._words.findall(" " + p) for p in between.difference(self._after)}
         for found in split.values():
             words.update(found)
         self._learn(words)
-        long = {}
-        for piece, found in split.items():
-            (self._after if len(piece) <= LONGEST_CACHED else long)[piece] = self._joined(found)
-        known, other = self._after.get, long.get
-        out = []
-        for parts in cut:
-            bytes_ = []
-            for part in parts:
-                if isinstance(part, bytes):
-                    bytes_.append(part)
-                else:
-                    bytes_.append(self._joined(part[0]))
-                    bytes_ += [known(p) or other(p) for p in part[1]]
-            out.append(b"".join(bytes_))
+        ids = self._seen.__getitem__
+        self._after.update((piece, ids(found[0]) if len(found) == 1 else b"".join(map(ids, found))) for piece, found in split.items())
+        out = [b"".join([b"".join(map(known.__getitem__, found)) for known, found in parts]) for parts in cut]
+        for cache, new in ((self._seen, words), (self._after, between)):
+            if len(cache) >= CACHE_WORDS:
+                cache.clear()
+            for long in [w for w in new if len(w) > LONGEST_CACHED]:
+                cache.pop(long, None)
         return out
 
-    def text(self, ids: list[int]) -> str:
-        """The text of any ids, added tokens included. Bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
-        return b"".join([self.bytes.get(i, b"") for i in ids]).decode("utf-8", "replace")
+    def texts(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of any ids, those of one text up to its end. Added tokens are text like
+        others; bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
+        known = (ids >= 0) & (ids < len(self._size))
+        ids = np.where(known, ids, 0)
+        sizes = np.where(known, self._size[ids], 0)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        flat = self._flat[np.repeat(self._place[ids] - upto[:-1], sizes) + np.arange(upto[-1])].tobytes()
+        stops = upto[ends].tolist()
+        return [flat[a:b].decode("utf-8", "replace") for a, b in zip([0, *stops], stops)]
 
 
 @lru_cache(maxsize=4)
@@ -362,7 +361,9 @@ def _decoder(path: str | None):
         for batch in batches:
             for rows in _runs(pc.list_value_length(batch.column(1)).to_pylist(), BATCH_BYTES // 4):
                 part = batch.slice(rows.start, rows.stop - rows.start)
-                texts = [words.text(i or []) for i in part.column(1).to_pylist()]
+                sizes = pc.list_value_length(part.column(1)).fill_null(0)
+                flat = part.column(1).flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+                texts = words.texts(flat, np.cumsum(sizes.to_numpy(zero_copy_only=False)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return decode

@@ -179,6 +179,37 @@ def candidates(activity: DataFrame, order: Column, rules: CandidateRules = Candi
     return candidate_filter(grouped, rules).select(columns)
 
 
+def candidate_partials(activity: DataFrame, order: Column) -> DataFrame:
+    """What a part of the log knows about each request, in a form that parts add up in.
+
+    Counts and times as in ``candidates``; each metadata column comes with the
+    place (``order``) of the row it is from, so the latest of two parts is known.
+    """
+    number = F.when(is_merged_close(), F.col("own_number")).when(F.col("type").isin(ACTIVITY_EVENTS), resolved_number())
+    rows = activity.withColumn("pr_number", number).filter(F.col("pr_number").isNotNull())
+    close = is_merged_close()
+    present = {**{c: nonempty(F.col(c)) for c in TEXT_FIELDS}, **{c: F.col(c).isNotNull() for c in NUMBER_FIELDS}}
+    places = [F.max(F.when(close & keep, order)).alias(f"{c}_at") for c, keep in present.items()]
+    return rows.groupBy(*KEY).agg(
+        *_activity_columns(), *_metadata_columns(close, order), *places,
+        F.count_if(close).alias("merged_close_events"), F.min(F.when(close, F.col("created_at"))).alias("pr_closed_at"))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """One row per request again; merging merged rows gives the same."""
+    fields = [*TEXT_FIELDS, *NUMBER_FIELDS]
+    total = ["issue_comment_events", "review_events", "review_comment_events", "merged_close_events"]
+    return partials.groupBy(*KEY).agg(
+        *[F.sum(c).alias(c) for c in total],
+        *[F.min(c).alias(c) for c in ("first_seen_at", "pr_closed_at")], F.max("last_seen_at").alias("last_seen_at"),
+        *[F.max_by(c, f"{c}_at").alias(c) for c in fields], *[F.max(f"{c}_at").alias(f"{c}_at") for c in fields])
+
+
+def candidates_of_partials(partials: DataFrame, rules: CandidateRules = CandidateRules()) -> DataFrame:
+    """``candidates`` from parts of the log: no event is read again."""
+    return candidate_filter(merge_partials(partials), rules).select(schemas.CANDIDATE.fieldNames())
+
+
 def candidate_stats(rows: DataFrame, steps: int = 20, accuracy: int = 10000) -> DataFrame:
     """Count and quantile sketches of size, files and review comments."""
     probs = [i / steps for i in range(steps + 1)]

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracemill.storage import materialize
+
 DIGEST_DIGITS = 4
 MANTISSA_STEPS = 4096
 _ZERO = "__z"
@@ -54,6 +56,26 @@ def digest_rank(df: DataFrame, digest: str, rank: str = "rank", total: str = "to
     )
 
 
+def kth_in_order(rows: DataFrame, order: Column, k: int) -> DataFrame:
+    """One row with the ``k``-th smallest value ``o`` of ``order`` (1-based), or the largest one if there are fewer.
+
+    Rows are dealt to ranges of the order and counted; only the range that the
+    place falls into is sorted. The driver sees one count per range.
+    """
+    spark = rows.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(
+        rows.select(order.alias("o")).repartitionByRange(ranges, "o").withColumn("part", F.spark_partition_id()), "ranges")
+    sizes = sorted(dealt.groupBy("part").count().collect())
+    left, part = k, None
+    for part, size in sizes:
+        if left <= size:
+            break
+        left -= size
+    inside = dealt.filter(F.col("part") == part) if part is not None else dealt
+    return inside.select("o").orderBy("o").limit(max(0, left)).agg(F.max("o").alias("o"))
+
+
 def take_by_digest(df: DataFrame, quotas: DataFrame, digest: str, by: tuple[str, ...],
                    tie: tuple[str, ...] = (), digits: int = DIGEST_DIGITS) -> DataFrame:
     """Keep the first ``quota`` rows of each stratum in digest order.

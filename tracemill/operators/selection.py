@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracemill.functions.text import blank_to_null, candidate_key, seeded_digest
-from tracemill.operators.ranking import take_by_digest
+from tracemill.operators.ranking import kth_in_order, take_by_digest
+from tracemill.storage import materialize
 
 
 def with_key(rows: DataFrame) -> DataFrame:
@@ -25,8 +24,8 @@ def dedup_keep_first(rows: DataFrame, key: str, order: Column, offset: int = 0,
     source = rows
     if offset:
         # Rows before the offset do not take part at all, as when reading a file.
-        # Only the first ``offset`` places are sorted out; the last one is the cut.
-        cut = rows.select(order.alias("o")).orderBy("o").limit(offset).agg(F.max("o").alias("o")).scalar()
+        # The last of the first ``offset`` places is the cut.
+        cut = kth_in_order(rows, order, offset).scalar()
         source = rows.filter(F.coalesce(order > cut, F.lit(True)))
     columns = [c for c in rows.columns if c != key]
     first = source.groupBy(key).agg(
@@ -65,28 +64,28 @@ def quota_rebalance(counts: DataFrame, stratum: str, available: str, total: int)
     """Split ``total`` evenly over strata; what small strata cannot use goes to the others.
 
     The split runs in rounds: each round shares what is left among the strata
-    that still have rows, and its remainder goes one each to the first of them.
-    The input has one row per stratum (per input file), so one task holds it.
+    that still have rows, and its remainder goes one each to the first of them
+    (null comes last). What a round leaves of a stratum follows from its own
+    rows and the rounds' few numbers, so a round is one aggregate over the count
+    table and, where there is a remainder, the search for one place in its order.
     """
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(stratum, ignore_index=True)
-        room = pdf[available].to_numpy(dtype="int64").copy()
-        left = max(int(total), 0)
-        while left > 0 and room.any():
-            open_strata = np.flatnonzero(room)
-            share, remainder = divmod(left, open_strata.size)
-            offer = np.full(open_strata.size, share)
-            offer[:remainder] += 1
-            taken = np.minimum(offer, room[open_strata])
-            room[open_strata] -= taken
-            left -= int(taken.sum())
-        return pdf.assign(quota=pdf[available] - room)
-
     kinds = dict(counts.dtypes)
-    schema = f"{stratum} {kinds[stratum]}, {available} bigint, quota bigint"
-    table = counts.select(stratum, F.col(available).cast("long").alias(available))
-    return table.groupBy().applyInPandas(fill, schema)
+    table = materialize(counts.select(stratum, F.col(available).cast("long").alias(available)), "strata")
+    room, left, before = F.greatest(F.col(available), F.lit(0)), max(int(total), 0), None
+    while True:
+        found = table.agg(F.count_if(room > 0).alias("open"), F.sum(room).alias("room")).first()
+        left -= 0 if before is None else before - found["room"]
+        if not left or not found["open"]:
+            break
+        before = found["room"]
+        share, remainder = divmod(left, found["open"])
+        offer = F.lit(share).cast("long")
+        if remainder:
+            last = kth_in_order(table.filter(room > 0), F.struct(F.col(stratum).isNull(), F.col(stratum).alias("s")), remainder).first()["o"]["s"]
+            early = F.lit(True) if last is None else F.coalesce(F.col(stratum) <= F.lit(last).cast(kinds[stratum]), F.lit(False))
+            offer = offer + F.when(early, 1).otherwise(0)
+        room = F.greatest(room - offer, F.lit(0))
+    return table.withColumn("quota", F.col(available) - room)
 
 
 def balanced_sample(rows: DataFrame, stratum: str, key: str, total: int | None, seed: int) -> DataFrame:

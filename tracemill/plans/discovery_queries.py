@@ -11,7 +11,8 @@ from tracemill.operators import selection as s
 from tracemill.plans.analogs import ACTIVITY_SQL, event_log, table
 from tracemill.plans.registry import query
 from tracemill.settings import DEFAULTS
-from tracemill.storage import materialize
+from tracemill.storage import materialize, scratch_path
+from tracemill.streaming import landing
 
 
 
@@ -88,6 +89,22 @@ def candidates(spark, sf_dir):
     return _candidates(spark, sf_dir)
 
 
+DUMPS = 6
+
+
+@query("candidates_incremental", ACTIVITY_SQL + "SELECT * FROM cand")
+def candidates_incremental(spark, sf_dir):
+    """The log as dumps that land one by one, not in order and one of them twice; each landing reads its dump alone."""
+    path, view = scratch_path(spark, "dumps"), scratch_path(spark, "view")
+    log = event_log(spark, sf_dir).withColumn("is_bad_json", F.lit(False)).withColumn(
+        "file_name", F.concat(F.lit("dump-"), F.pmod("seq", F.lit(DUMPS)).cast("string")))
+    log.write.partitionBy("file_name").parquet(path)
+    for n in (3, 0, 5, 3, 1, 4, 2):
+        dump = spark.read.parquet(f"{path}/file_name=dump-{n}").withColumn("file_name", F.lit(f"dump-{n}"))
+        landing.absorb(dump, view, _seq())
+    return landing.view_candidates(spark, view)
+
+
 @query("candidates_distinct", ACTIVITY_SQL + """,
 m AS (SELECT repo_name, num AS pr_number, pr_url, coalesce(pr_title, '') AS pr_title, pr_body, merge_commit_sha,
   additions, deletions, changed_files FROM closes WHERE merged = 'true' GROUP BY ALL)

@@ -19,6 +19,7 @@ from tracemill.plans.view_queries import (
 from tracemill.schemas import INT, LONG, TEXT, struct
 from tracemill.settings import DEFAULTS
 from tracemill.sources import readers as r, writers as w
+from tracemill.sources.batches import BatchTable
 from tracemill.storage import scratch_path
 
 K = gate.KEY
@@ -192,29 +193,23 @@ SELECT repo_name, pr_number, CASE WHEN bad_pr OR bad_files THEN 'failed' ELSE 'e
   CAST(CASE WHEN merged THEN 1 ELSE 2 END AS BIGINT) AS run FROM prs""")
 def incremental_append(spark, sf_dir):
     """Two runs: merged requests first, then all of them; the second skips what the first wrote."""
-    success, failure = scratch_path(spark, "runs-ok"), scratch_path(spark, "runs-failed")
-    good_schema = struct(repo_name=TEXT, pr_number=LONG, run=LONG)
-    bad_schema = struct(repo_name=TEXT, pr_number=LONG, run=LONG, error_type=TEXT)
     from tracemill.operators import selection
 
+    outcomes = BatchTable(spark, scratch_path(spark, "runs"))
+    good_schema = struct(repo_name=TEXT, pr_number=LONG, run=LONG)
     everything = selection.with_key(
         a.requests(spark, sf_dir).withColumn("candidate", F.struct(*K))
     )
     for run, wanted in ((1, everything.filter("merged")), (2, everything)):
-        done = selection.seen_keys(
-            r.scan_jsonl(spark, success, good_schema), r.scan_jsonl(spark, failure, bad_schema)
-        )
-        pending = selection.anti_join_seen(wanted, done)
+        pending = w.not_appended(outcomes, wanted)
         good, bad = enrichment.failure_split(
             pending, {"pr": "err_pr", "files": "err_files"}, {"full_diff": "err_full_diff"}
         )
         number = F.lit(run).cast("long").alias("run")
         w.incremental_append(
-            good.select(*K, number), bad.select(*K, number, "error_type"), success, failure
-        )
-    ok = r.scan_jsonl(spark, success, good_schema).withColumn("outcome", F.lit("enriched"))
-    failed = r.scan_jsonl(spark, failure, bad_schema).drop("error_type").withColumn("outcome", F.lit("failed"))
-    return ok.unionByName(failed)
+            outcomes, f"run-{run}", good.select("key", *K, number), selection.with_key(bad).select("key", *K, number, "error_type"))
+    read = lambda part, outcome: outcomes.read(part, good_schema, "json").withColumn("outcome", F.lit(outcome))
+    return read("outcomes", "enriched").unionByName(read("failures", "failed"))
 
 
 @query("finalize", _SFT_SQL.replace(_ASSEMBLED_SQL, _AUDIT_SQL) + ", ft AS (SELECT repo_name AS repo, accepted, file_count "

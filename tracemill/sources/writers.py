@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracemill import schemas
+from tracemill.schemas import INT, TEXT, struct
+from tracemill.sources.batches import BatchTable
+
+KEY_BUCKETS = 256
+KEYS = struct(key=TEXT, bucket=INT)
 
 
 def sink_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -62,9 +67,28 @@ def sink_document(spark: SparkSession, document: dict, path: str) -> None:
     ).text(path)
 
 
-def incremental_append(
-    outcomes: DataFrame, failures: DataFrame, success_path: str, failure_path: str
-) -> None:
-    """Append one run's good and failed rows; a later run skips both by key."""
-    sink_jsonl(outcomes, success_path, mode="append")
-    sink_jsonl(failures, failure_path, mode="append")
+def key_bucket() -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def incremental_append(table: BatchTable, run: str, outcomes: DataFrame, failures: DataFrame) -> bool:
+    """Append one run's good and failed rows (each with its ``key``), both or neither.
+
+    Their keys are a third part, by bucket, so that later runs need not read
+    whole rows to know what is done. A run that is appended again changes nothing.
+    """
+    spark = outcomes.sparkSession
+
+    def keys(at: dict[str, str]) -> None:
+        both = spark.read.schema(KEYS).json([at["outcomes"], at["failures"]])
+        both.select("key").withColumn("bucket", key_bucket()).repartition("bucket").write.partitionBy("bucket").parquet(at["keys"])
+
+    return table.commit(run, {
+        "outcomes": lambda at: sink_jsonl(outcomes, at["outcomes"]), "failures": lambda at: sink_jsonl(failures, at["failures"]), "keys": keys})
+
+
+def not_appended(table: BatchTable, wanted: DataFrame) -> DataFrame:
+    """Rows of ``wanted`` whose ``key`` no run has. Only folders of buckets that ``wanted`` has keys in are read."""
+    buckets = sorted(r["bucket"] for r in wanted.select(key_bucket().alias("bucket")).distinct().collect())
+    done = table.read("keys", KEYS).filter(F.col("bucket").isin(buckets))
+    return wanted.join(done.select("key"), "key", "left_anti")

@@ -13,14 +13,14 @@ from tracemill.llm import packing
 TEXTS = [
     None, "", " ", "a", " lead", "trail ", "two  blanks", "line\nbreak it's 12 3", "é ü ß 漢字 😀 \u00a0x", "tab\there", "word " * 3000,
     "x\r\n y", "don't we'll 'tis", "a" * 5000, "repeat me", "repeat me", "\u3000wide \u2003em", "1 2 3.5 %%% $$$ a%%% b***",
+    "hello <|endoftext|> world", "<|endoftext|>start", "end <|endoftext|>", "<|endoftext|><|endoftext|> twice",
+    "word " * 1022 + "<|endoftext|>" + " and" * 1023 + "<|endoftext|>", "<|endoftext",
 ]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def ids_of(tokenizer, text):

@@ -10,12 +10,15 @@ group is left or a round saves next to nothing. A sequence that no item of its
 group can join goes on; one that is as long as it can get is never opened again.
 
 Token ids come from a byte-level BPE vocabulary file that the caller names. The
-fast path reads the same vocabulary as ranks; word by word, with a cache.
+fast path reads the same vocabulary as ranks; word by word, with a cache. Added
+tokens of the vocabulary are cut out of a text first: their strings are these
+tokens, as the ``tokenizers`` library has it.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -38,7 +41,8 @@ NEARLY_FULL = 4          # free tokens with which a sequence is done
 GROUP = 20_000           # items of a group, about
 MERGED = 8               # groups that become one
 CACHE_WORDS = 300_000    # words that a task keeps ids of
-RANKS_FILE = "byte_bpe_50k.tiktoken"  # the vocabulary of byte_bpe_50k.json, as ranks
+RANKS_FILE = "byte_bpe_50k.tiktoken"  # the vocabulary of VOCABULARY, as ranks
+VOCABULARY = "byte_bpe_50k.json"      # names the added tokens
 
 
 @lru_cache(maxsize=4)
@@ -52,15 +56,24 @@ def encoding(path: str | None) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def added_tokens(path: str | None) -> dict[str, int]:
+    """Added tokens of the vocabulary at ``path``, or of the installed one."""
+    with open(path or public_tokenizers.path(VOCABULARY), encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 class Words(dict):
     """Little-endian ids of a word and of the one blank before it. Words never
     share a token across a single blank between two other characters."""
 
     _double = regex.compile(r"\s\s| $")
 
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None = None, added: str | None = None):
         super().__init__()
         self.encoding = encoding(path)
+        self._added = {} if path and not added else added_tokens(added)
+        self._cut = regex.compile("|".join(map(regex.escape, sorted(self._added, key=len, reverse=True))) or "(?!)")
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_WORDS:
@@ -70,6 +83,13 @@ class Words(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
+        out, at = [], 0
+        for token in self._cut.finditer(text):
+            out += [self._plain(text[at:token.start()]), np.array([self._added[token[0]]], "<u4").tobytes()]
+            at = token.end()
+        return b"".join([*out, self._plain(text[at:])]) if out else self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if self._double.search(text):
             return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
         first, *rest = text.split(" ")
@@ -80,11 +100,11 @@ _PIECE = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def _pieces(path: str | None, length: int, end_id: int):
+def _pieces(path: str | None, added: str | None, length: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(path)
+        words = Words(path, added)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -102,10 +122,11 @@ def _pieces(path: str | None, length: int, end_id: int):
     return cut
 
 
-def pieces(documents: DataFrame, id_col: str, text_col: str, vocabulary: str | None, length: int, end_id: int) -> DataFrame:
+def pieces(documents: DataFrame, id_col: str, text_col: str, vocabulary: str | None, length: int, end_id: int,
+           added: str | None = None) -> DataFrame:
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return docs.mapInArrow(
-        _pieces(vocabulary, length, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
+        _pieces(vocabulary, added, length, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(sizes: np.ndarray, length: int) -> list[list[int]]:
@@ -147,16 +168,18 @@ def _pack(length: int, nearly: int):
 
 
 def pack(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,
-         length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
+         length: int = LENGTH, end_id: int = END_ID, added: str | None = None) -> DataFrame:
     """``(id_col, piece, start, length, ids_crc32, sequence_id, offset)``, one row for each piece.
 
     A null text is empty: its one piece holds the end id alone. Repeated rows
     are packed as often as they come; null ids are kept. Ties are broken by
     position in the written table of pieces. An empty table gives an empty
-    result. Other columns are not read.
+    result. Other columns are not read. ``vocabulary`` is a file of ranks,
+    ``added`` the file that names its added tokens (none for another vocabulary
+    without one).
     """
     ws = Workspace(documents.sparkSession)
-    cut = ws.save(pieces(documents, id_col, text_col, vocabulary, length, end_id), "pieces")
+    cut = ws.save(pieces(documents, id_col, text_col, vocabulary, length, end_id, added), "pieces")
     # The table is written, so its row numbers hold.
     numbered = ws.save(cut.withColumn("item", F.monotonically_increasing_id()), "numbered")
     ws.drop("pieces")

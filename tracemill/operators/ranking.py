@@ -23,13 +23,13 @@ MANTISSA_STEPS = 4096
 _ZERO = "__z"
 
 
-def number_bucket(value: Column) -> Column:
-    """Order-preserving coarse bucket of a finite number."""
+def number_bucket(value: Column, steps: int = MANTISSA_STEPS) -> Column:
+    """Order-preserving coarse bucket of a finite number, ``steps`` of them for each power of two."""
     v = value.cast("double")
     size = F.abs(v)
     exponent = F.floor(F.log2(F.when(size > 0, size)))
-    step = F.floor((size / F.pow(F.lit(2.0), exponent) - 1.0) * MANTISSA_STEPS)
-    code = (exponent + 1100) * MANTISSA_STEPS + F.least(step, F.lit(MANTISSA_STEPS - 1)) + 1
+    step = F.floor((size / F.pow(F.lit(2.0), exponent) - 1.0) * steps)
+    code = (exponent + 1100) * steps + F.least(step, F.lit(steps - 1)) + 1
     code = F.coalesce(code.cast("long"), F.lit(0).cast("long"))
     return F.when(v < 0, -code).otherwise(code)
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracemill.operators import gate, profiling as p
+from tracemill.functions import paths
+from tracemill.operators import drift, gate, profiling as p, sketches
 from tracemill.plans import analogs as a
 from tracemill.plans.analogs import TRACE_SQL
 from tracemill.plans.registry import query
+from tracemill.sources.batches import BatchTable
+from tracemill.storage import materialize, scratch_path
 
 K = gate.KEY
 
@@ -228,6 +231,81 @@ def release_drift(spark, sf_dir):
     return metrics.withColumn("positive_rate_change", F.col("positive_rate") - before)
 
 
+_MEASURES_SQL = """,
+y AS (SELECT *, substr(created_at, 1, 4) AS release FROM judged WHERE created_at IS NOT NULL),
+cells AS (
+  SELECT release, 'accepted' AS measure, CASE WHEN accepted THEN 'true' ELSE 'false' END AS bucket FROM y
+  UNION ALL SELECT release, 'review_concern', coalesce(CAST(review_concern AS VARCHAR), '(none)') FROM y
+  UNION ALL SELECT release, 'missing_patch', CASE WHEN source_patch_count = 0 THEN 'true' ELSE 'false' END FROM y
+  UNION ALL SELECT release, 'diff_size', CAST(CAST(floor(log2(greatest(diff_lines, 0) + 1)) AS BIGINT) AS VARCHAR) FROM y
+  UNION ALL SELECT release, 'language', language FROM y JOIN files USING (repo_name, pr_number) WHERE language IS NOT NULL),
+h AS (SELECT release, measure, bucket, count(*) AS n FROM cells GROUP BY ALL),
+o AS (SELECT release, lag(release) OVER (ORDER BY release) AS previous FROM (SELECT DISTINCT release FROM h)),
+al AS (
+  SELECT release, previous, measure, bucket, sum(n1) AS n1, sum(n0) AS n0 FROM (
+    SELECT o.release, o.previous, measure, bucket, n AS n1, 0 AS n0 FROM o JOIN h USING (release) WHERE o.previous IS NOT NULL
+    UNION ALL SELECT o.release, o.previous, measure, bucket, 0, n FROM o JOIN h ON h.release = o.previous) GROUP BY ALL),
+sh AS (SELECT *, sum(n1) OVER w AS a1, sum(n0) OVER w AS a0, count(*) OVER w AS k FROM al WINDOW w AS (PARTITION BY release, measure)),
+pq AS (SELECT *, n1 / a1::DOUBLE AS p, n0 / a0::DOUBLE AS q, (n1 + 0.5) / (a1 + 0.5 * k)::DOUBLE AS sp, (n0 + 0.5) / (a0 + 0.5 * k)::DOUBLE AS sq
+  FROM sh WHERE a1 > 0 AND a0 > 0),
+ds AS (SELECT release, previous, measure, sum((sp - sq) * ln(sp / sq)) AS psi,
+  sqrt(greatest(sum(CASE WHEN p > 0 THEN 0.5 * p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN 0.5 * q * log2(2 * q / (p + q)) ELSE 0 END), 0)) AS js FROM pq GROUP BY ALL)
+SELECT release, previous, measure, round(psi, 7) AS psi, round(js, 6) AS js_distance,
+  CASE WHEN psi >= 0.25 THEN 'strong' WHEN psi >= 0.1 THEN 'moderate' ELSE 'none' END AS alarm FROM ds"""
+
+
+@query("release_distances", TRACE_SQL + _MEASURES_SQL)
+def release_distances(spark, sf_dir):
+    """Distances between yearly releases: verdicts, labels, missing patches, sizes and the language mix."""
+    rows = materialize(a.judged(spark, sf_dir).select(
+        *gate.KEY, F.substring("created_at", 1, 4).alias("release"), F.col("quality.accepted").alias("accepted"),
+        gate.review_concern_label().alias("review_concern"), (F.col("source_patch_count") == 0).alias("missing_patch"),
+        drift.size_bucket(gate.size_of_change()).alias("diff_size")), "releases")
+    found = drift.histograms(rows, F.col("release"), {c: F.col(c) for c in ("accepted", "review_concern", "missing_patch", "diff_size")})
+    languages = a.changed_files(spark, sf_dir).select(*gate.KEY, paths.source_language(F.col("filename")).alias("language")).filter("language is not null")
+    mix = drift.histograms(languages.join(rows.select(*gate.KEY, "release"), gate.KEY), F.col("release"), {"language": F.col("language")})
+    return drift.distances(found, mix).withColumns({"psi": F.round("psi", 7), "js_distance": F.round("js_distance", 6)})
+
+
+_SIZES = {"diff_size": "diff_lines", "files": "file_count", "review_comments": "review_comment_count"}
+
+
+def _landed_profile(spark, sf_dir):
+    """Verdicts as two landings, months of an even number and the late others; each leaves a few rows."""
+    table = BatchTable(spark, scratch_path(spark, "profile"))
+    rows = materialize(a.judged(spark, sf_dir).select(
+        F.substring("created_at", 1, 7).alias("month"), "repo_name", gate.size_of_change().alias("diff_lines"), "file_count", "review_comment_count"), "sizes")
+    for name, wanted in (("even", "month is null or substring(month, 7, 1) in ('0', '2', '4', '6', '8')"), ("odd", "substring(month, 7, 1) in ('1', '3', '5', '7', '9')")):
+        found = sketches.batch_sketches(
+            rows.filter(wanted), F.col("month"), {m: F.col(c) for m, c in _SIZES.items()}, {"repositories": F.col("repo_name")})
+        table.commit(name, {"sketches": lambda at, found=found: found.write.parquet(at["sketches"])})
+    return table.read("sketches", sketches.SKETCH)
+
+
+_LADDER_SQL = ",\nv AS (" + " UNION ALL ".join(f"SELECT '{m}' AS measure, CAST({c} AS DOUBLE) AS v FROM judged WHERE {c} IS NOT NULL" for m, c in _SIZES.items()) + """),
+b AS (SELECT measure, v, CASE WHEN v > 0 THEN CAST((floor(log2(v)) + 1100) * 64 + least(floor((v / pow(2, floor(log2(v))) - 1) * 64), 63) + 1 AS BIGINT) ELSE 0 END AS bucket FROM v),
+n AS (SELECT measure, bucket, count(*) AS n FROM b GROUP BY ALL),
+l AS (SELECT *, sum(n) OVER (PARTITION BY measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY measure) AS total FROM n)
+SELECT measure, step, CASE WHEN bucket = 0 THEN 0 ELSE pow(2, (bucket - 1) // 64 - 1100) * (1 + ((bucket - 1) % 64) / 64) END::DOUBLE AS quantile
+FROM l, (SELECT unnest(range(0, 21)) AS step)
+WHERE upto >= greatest(ceil(total * step / 20), 1) AND upto - n < greatest(ceil(total * step / 20), 1)"""
+
+
+@query("landed_quantiles", TRACE_SQL + _LADDER_SQL)
+def landed_quantiles(spark, sf_dir):
+    """Quantiles of everything landed, from the sketches of the landings."""
+    return sketches.merged_quantiles(_landed_profile(spark, sf_dir))
+
+
+@query("landed_totals", TRACE_SQL + " UNION ALL ".join(
+    f"SELECT '{m}' AS measure, count({c}) AS n, sum({c})::DOUBLE AS total, avg({c})::DOUBLE AS mean, min({c})::DOUBLE AS least, max({c})::DOUBLE AS most FROM judged"
+    for m, c in _SIZES.items()))
+def landed_totals(spark, sf_dir):
+    found = sketches.merged_totals(_landed_profile(spark, sf_dir)).filter("total is not null")
+    return found.drop("distinct_values")
+
+
 @query("success_criteria", TRACE_SQL + _ACCEPTED_FILES_SQL + """,
 m AS (SELECT count(*) FILTER (WHERE accepted)::DOUBLE AS accepted_traces, count(DISTINCT repo_name)::DOUBLE AS repositories,
   (SELECT count(DISTINCT language) FROM af)::DOUBLE AS source_languages,

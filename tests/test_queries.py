@@ -31,4 +31,4 @@ def test_query(spark, con, name):
 
 def test_only_models_and_embeddings_have_no_sql():
     assert set(catalog.QUERIES) - set(catalog.ORACLES) == {
-        "boosted_models", "logistic_models", "score_rows", "feature_importance", "what_if_fitted", "diff_embedding", "train_evaluate"}
+        "boosted_models", "logistic_models", "score_rows", "feature_importance", "what_if_fitted", "diff_embedding", "learned_embedding", "train_evaluate"}

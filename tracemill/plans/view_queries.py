@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from tracemill.operators import features as ft, files as fj, gate, splits, traces
+from tracemill.operators import encoder, features as ft, files as fj, gate, splits, traces
 from tracemill.plans import analogs as a
 from tracemill.plans.analogs import TRACE_SQL
 from tracemill.plans.quality_queries import _ASSEMBLED_SQL, _joined
 from tracemill.plans.registry import query
 from tracemill.settings import DEFAULTS
-from tracemill.storage import materialize
+from tracemill.storage import materialize, scratch_path
 
 K = gate.KEY
 
@@ -198,6 +200,46 @@ def diff_embedding(spark, sf_dir):
     return rows.select("doc_id", "diff_emb")
 
 
+_ENCODER = encoder.EncoderRules()
+
+# Tokens by place, pairs of the most frequent ones near each other, and their information.
+_PAIRS_SQL = f"""
+WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[^\\pL\\pM\\p{{Nd}}\\p{{Pc}}]+'), lambda x: x <> '')[1:{_ENCODER.cap}] AS ws FROM documents),
+p AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS at FROM t),
+k AS (SELECT w FROM p GROUP BY w ORDER BY count(*) DESC, w LIMIT {_ENCODER.words}),
+u AS (SELECT p.* FROM p JOIN k USING (w)),
+c AS (SELECT a.w AS i, b.w AS j, count(*) AS n FROM u a JOIN u b ON a.doc_id = b.doc_id AND b.at <> a.at AND b.at BETWEEN a.at - {_ENCODER.window} AND a.at + {_ENCODER.window} GROUP BY ALL),
+s AS (SELECT i, sum(n) AS s FROM c GROUP BY i),
+v AS (SELECT c.i, c.n, ln(c.n * (SELECT sum(n)::DOUBLE FROM c) / (x.s::DOUBLE * y.s)) AS v FROM c JOIN s x ON x.i = c.i JOIN s y ON y.i = c.j)
+SELECT i AS token, CAST(sum(n) AS BIGINT) AS n_near, count(*) FILTER (WHERE v > 1e-9) AS n_informative,
+  round(coalesce(sum(v) FILTER (WHERE v > 1e-9), 0), 5) AS information
+FROM v GROUP BY i"""
+
+
+@query("token_information", _PAIRS_SQL)
+def token_information(spark, sf_dir):
+    """What the encoder learns from: near pairs of the frequent tokens and their information, summed up by token."""
+    docs = a.table(spark, sf_dir, "documents")
+    tokens = materialize(docs.select(encoder.first_tokens(F.col("text"), _ENCODER.cap).alias("tokens")), "tokens")
+    units = encoder.find_units(tokens, replace(_ENCODER, trigrams=0))
+    pairs = materialize(encoder.pair_table(tokens, units, _ENCODER.window), "pairs")
+    names = spark.createDataFrame(list(enumerate(units)), "i int, token string")
+    found = encoder.informative(pairs, _ENCODER.shift).filter("v > 1e-9").groupBy("i").agg(
+        F.count(F.lit(1)).alias("n_informative"), F.round(F.sum("v"), 5).alias("information"))
+    near = pairs.groupBy("i").agg(F.sum("n").alias("n_near"))
+    return near.join(found, "i", "left").join(names, "i").select(
+        "token", "n_near", F.coalesce("n_informative", F.lit(0).cast("long")).alias("n_informative"), F.coalesce("information", F.lit(0.0)).alias("information"))
+
+
+@query("learned_embedding")
+def learned_embedding(spark, sf_dir):
+    """An encoder learned from the documents, saved and loaded, and every document's vector."""
+    docs = a.table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "encoder")
+    encoder.save_encoder(spark, encoder.fit(docs, "text", _ENCODER), path)
+    return encoder.encode(docs, "text", encoder.load_encoder(spark, path, _ENCODER), ("doc_id",))
+
+
 @query("diff_embedding_norms", """
 SELECT doc_id, CAST(768 AS BIGINT) AS width, CASE WHEN regexp_matches(text, '[\\pL\\pN]') THEN 1.0 ELSE 0.0 END AS norm
 FROM documents""")

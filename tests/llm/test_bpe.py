@@ -104,6 +104,7 @@ def test_rows(spark, docs, library):
     wanted = sorted(((i, t or "") for i, t in rows), key=key)
     got = sorted(((r["doc_id"], r["text"]) for r in back), key=key)
     assert got == wanted
+    assert sorted(((r["doc_id"], r["text"]) for r in bpe.encode_decode(frame).collect()), key=key) == wanted
     by_text = {r["text"]: r["ids"] for r in back}
     for _, text in rows:
         assert by_text[text or ""] == library.encode(text or "", add_special_tokens=False).ids

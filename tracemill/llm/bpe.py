@@ -31,7 +31,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -369,19 +369,24 @@ def _decoder(path: str | None):
     return decode
 
 
-def encode(documents: DataFrame, id_col: str | Column = "doc_id", text_col: str | Column = "text", path: str | None = None) -> DataFrame:
+def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """``(doc_id, ids)``, one row for each row, ids as the ``tokenizers`` library gives them without special tokens.
 
     A null or empty text has no ids. The text of an added token is that token,
     as in the library. Null ids of documents are kept, repeated rows stay
     repeated, other columns are not read.
     """
-    return documents.select(
-        (F.col(id_col) if isinstance(id_col, str) else id_col).cast("long").alias("doc_id"),
-        (F.col(text_col) if isinstance(text_col, str) else text_col).cast("string").alias("text"),
-    ).mapInArrow(_encoder(path), "doc_id long, ids array<int>")
+    return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+        _encoder(path), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``(doc_id, ids, text)`` of rows of ``encode``. Null ids give an empty text; null or unknown ids inside add nothing."""
     return encoded.select("doc_id", "ids").mapInArrow(_decoder(path), "doc_id long, ids array<int>, text string")
+
+
+def encode_decode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """``decode(encode(documents))`` with one Python worker a task: texts are made from the ids."""
+    there, back = _encoder(path), _decoder(path)
+    return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+        lambda batches: back(there(batches)), "doc_id long, ids array<int>, text string")

@@ -69,7 +69,7 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    done = bpe.encode_decode(table(spark, sf_dir, "documents"))
     return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

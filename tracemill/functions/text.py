@@ -86,14 +86,22 @@ _ZONE = r"(Z|[+-][0-9]{2}(:?[0-9]{2}(:?[0-9]{2}([.][0-9]+)?)?)?)?"
 _ISO = rf"^([0-9]{{4}})(-?)([0-9]{{2}})\2([0-9]{{2}})([^0-9]{_CLOCK}{_ZONE})?$"
 
 
+# The shapes that nearly all dates have, digits written as 0.
+_PLAIN = ["0000-00-00T00:00:00Z", "0000-00-00T00:00:00", "0000-00-00"]
+
+
 def day_key(iso: Column) -> Column:
     """The day as written, ``yyyy-MM-dd``, of a date or date-time in ISO form; null for anything else.
 
-    The offset is not applied and no session setting matters.
+    The offset is not applied and no session setting matters. The common shapes
+    are told by position; only what looks otherwise is matched by patterns.
     """
     part = lambda k: F.regexp_extract(iso, _ISO, k)
-    day = F.concat_ws("-", part(1), part(3), part(4))
-    return F.when(iso.rlike(_ISO) & F.try_to_date(day, "yyyy-MM-dd").isNotNull() & (part(1) != "0000"), day)
+    at = lambda start, most: F.substring(iso, start, 2) <= most
+    plain = F.translate(iso, "123456789", "000000000").isin(_PLAIN) & at(12, "23") & at(15, "59") & at(18, "59")
+    other = F.when(iso.rlike(_ISO), F.concat_ws("-", part(1), part(3), part(4)))
+    day = F.when(plain, F.substring(iso, 1, 10)).otherwise(other)
+    return F.when(F.try_to_date(day, "yyyy-MM-dd").isNotNull() & ~day.startswith("0000"), day)
 
 
 def month_key(iso: Column) -> Column:

@@ -124,12 +124,12 @@ def ladder(df: DataFrame, value: str, by: tuple[str, ...] = (), sums: dict[str,
     """
     sums = sums or {}
     names = ["n", *sums]
-    steps = (
+    # Written, so that whatever reads the ladder does not count the rows again.
+    counted = materialize(
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(e.cast("long")).alias(s) for s, e in sums.items()])
-        .withColumn("__b", number_bucket(F.col(value)))
-    )
+        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(e.cast("long")).alias(s) for s, e in sums.items()]), "ladder")
+    steps = counted.withColumn("__b", number_bucket(F.col(value)))
     buckets = steps.groupBy(*by, "__b").agg(*[F.sum(s).alias(f"__{s}") for s in names])
     upto = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     every = Window.partitionBy(*by)

@@ -16,6 +16,7 @@ from tracemill.plans import analogs as a
 from tracemill.plans.analogs import FRAME_SQL
 from tracemill.plans.registry import query
 from tracemill.settings import DEFAULTS
+from tracemill.sources import writers as w
 from tracemill.storage import materialize, run_folder, scratch_path
 
 TABULAR = ["diff_lines", "changed_files", "source_patch_token_count_capped"]
@@ -286,13 +287,15 @@ SELECT model, CASE WHEN model <> 'constant' THEN val_roc_auc END AS val_roc_auc,
   (SELECT count(*) FROM frame WHERE review_concern = 0) AS negatives,
   (SELECT count(*) FROM frame WHERE review_concern = 1) AS positives FROM led""")
 def metrics_export(spark, sf_dir):
-    """Leaderboard with class balance; a non-finite number is exported as null."""
+    """Leaderboard with class balance, written and read back; a non-finite number is exported as null."""
     val, _ = _board(spark, sf_dir)
     nan = F.when(F.col("model") == "constant", F.lit(float("nan"))).otherwise(F.col("val_roc_auc"))
     labels = a.labelled_frame(spark, sf_dir)
     count = lambda v: labels.agg(F.count_if(F.col("review_concern") == v).alias("n")).scalar()
     board = val.select("model", nan.alias("val_roc_auc")).withColumns({"negatives": count(0), "positives": count(1)})
-    return m.finite_or_null(board)
+    path = scratch_path(spark, "metrics")
+    w.sink_csv(m.finite_or_null(board), path)
+    return spark.read.schema(board.schema).option("header", True).csv(path)
 
 
 _MELTED = ["val_roc_auc", "val_average_precision", "val_macro_f1", "val_balanced_accuracy"]

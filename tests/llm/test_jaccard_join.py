@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tracemill.llm import graph, jaccard_join
@@ -154,3 +155,22 @@ def test_components(spark, monkeypatch, block):
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == label
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_signatures_never_rule_out_a_link():
+    rng = np.random.default_rng(5)
+    for n in (3, 40, 300, 2000):
+        sets = []
+        for _ in range(30):
+            base = rng.integers(-2 ** 62, 2 ** 62, n)
+            for share in (1.0, 0.9, 0.87, 0.8, 0.5):
+                kept = base[: max(1, int(share * n))]
+                sets.append(np.unique(np.concatenate([kept, rng.integers(-2 ** 62, 2 ** 62, int(rng.integers(0, max(2, n // 8))))])))
+        frame = pd.DataFrame({"n": [len(x) for x in sets], "bits": [jaccard_join.signature(x) for x in sets]})
+        i, j = np.triu_indices(len(sets), 1)
+        can = jaccard_join._can_share(frame, i, j)
+        common = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+        total = frame["n"].to_numpy()[i] + frame["n"].to_numpy()[j]
+        linked = 100 * common >= 75 * (total - common)
+        assert linked.sum() > 20 and can[linked].all()
+        assert n < 40 or can[common == 0].mean() < 0.01

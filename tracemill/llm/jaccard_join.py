@@ -19,7 +19,10 @@ when d <= 1/4, that is 100 * common >= 75 * union.
   and members next to a border are replicated to the ring outside (triangle
   inequality). Rings whose members are linked already are done. What is left
   after the last round is compared block by block inside the tasks, between
-  different components, and only links leave them.
+  different components, and only links leave them. Bit signatures go first: a
+  bit that one set has and another has not is a shingle that they don't share,
+  which bounds what they can share. Only members that this leaves a partner
+  bring their sets.
 
 Equal sets are one member throughout. The result is the class of each text,
 so links inside one component need not be listed.
@@ -45,7 +48,8 @@ from tracemill.storage import Workspace
 SHARED_BY = 32       # a shingle at the head of more texts than this comes late in the order
 LATE_AT_MOST = 1 << 16  # shingles moved to the end of the order, the most shared first (they are broadcast)
 SMALL = 32           # a region of at most so many members names all its pairs
-LEAF = 1000          # members of a block of a region that is left
+LEAF = 2500          # members of a block of a region that is left
+PAIRS = 1 << 16      # pairs whose signatures are compared at once
 DENSE = 48           # members from which a shingle of a cell is counted by products
 MAP_BITS = 1 << 24   # of the map of wanted texts (2 MB)
 ROUNDS = 2           # recursive divisions of large regions
@@ -173,9 +177,48 @@ def _batch(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
 
 
+def signature(numbers: np.ndarray) -> bytes:
+    """One bit for each of at least twice as many buckets as there are numbers, a power of two of them."""
+    bits = max(64, 1 << int(2 * len(numbers) - 1).bit_length())
+    with np.errstate(over="ignore"):
+        mixed = (numbers.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)
+    out = np.zeros(bits, np.uint8)
+    out[mixed & np.uint64(bits - 1)] = 1
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def folded(words: np.ndarray, length: int) -> np.ndarray:
+    """A signature with fewer buckets."""
+    while len(words) > length:
+        words = words[:len(words) // 2] | words[len(words) // 2:]
+    return words
+
+
+def _can_share(f: pd.DataFrame, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which of the pairs of rows can link, by their sizes and signatures."""
+    n, words = f["n"].to_numpy(np.int64), [np.frombuffer(b, "<u8") for b in f["bits"]]
+    lengths = np.array([len(w) for w in words])
+    out = np.zeros(len(i), bool)
+    at = np.minimum(lengths[i], lengths[j])
+    for length in np.unique(at):
+        there = np.flatnonzero(lengths >= length)
+        place = np.full(len(n), -1)
+        place[there] = np.arange(len(there))
+        table = np.stack([folded(words[t], length) for t in there])
+        chosen = np.flatnonzero(at == length)
+        for s in range(0, len(chosen), PAIRS):
+            c = chosen[s:s + PAIRS]
+            x, y, na, nb = table[place[i[c]]], table[place[j[c]]], n[i[c]], n[j[c]]
+            apart = x ^ y
+            only_x = np.bitwise_count(apart & x).sum(axis=1, dtype=np.int64)
+            only_y = np.bitwise_count(apart & y).sum(axis=1, dtype=np.int64)
+            out[c] = 7 * np.minimum(na - only_x, nb - only_y) >= 3 * (na + nb)
+    return out
+
+
 def _sets(words: np.ndarray):
-    """(key, numbers) of the texts whose bit is set."""
-    schema = pa.schema([("key", pa.int64()), ("numbers", pa.list_(pa.int64()))])
+    """(key, numbers, bits) of the texts whose bit is set."""
+    schema = pa.schema([("key", pa.int64()), ("numbers", pa.list_(pa.int64())), ("bits", pa.binary())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +230,8 @@ def _sets(words: np.ndarray):
                 ends = np.cumsum([0, *map(len, found)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_key(f) for f in found], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(found)))], schema=schema)
+                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(found))),
+                     pa.array([signature(f) for f in found], pa.binary())], schema=schema)
 
     return sets
 
@@ -219,7 +263,7 @@ class JaccardJoin:
             words[r["word"]] = np.int64(r["bits"]).view(np.uint64)
         self.sets = self.ws.save(
             self.docs.filter("id is not null").select(bit.alias("bit"), "text").mapInArrow(
-                _sets(words), "key long, numbers array<long>"), "sets")
+                _sets(words), "key long, numbers array<long>, bits binary"), "sets")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """(a, b, common, total) of each distinct pair, from the whole sets."""
@@ -324,19 +368,21 @@ class JaccardJoin:
     def leaf_links(self, members: DataFrame) -> DataFrame:
         """Links between different components inside the regions that are left.
 
-        A region is dealt to cells of two blocks each, so every pair of its
-        members meets in one cell. First each cell names the members that have
-        a partner which labels, sizes and positions allow; only those bring
-        their sets. No pair leaves a task but links that unite components.
+        A region is dealt to cells of two blocks each (or of one with itself), so
+        every pair of its members meets in one cell. First each cell names the
+        members that have a partner which labels, sizes, positions and signatures
+        allow; only those bring their sets. No pair leaves a task but links that
+        unite components.
         """
         counted = members.groupBy("region").agg(F.ceil(F.count("*") / LEAF).cast("int").alias("blocks"))
         dealt = members.join(counted, "region").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         cells = dealt.withColumn("other", other).withColumn("cell", F.struct(
             "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-        rows = cells.select("cell", "key", "label", "n", "pos", "guest")
-        kept = self.ws.save(rows.groupBy("cell").applyInPandas(_with_partner, rows.schema), "leaf_members")
-        out = kept.join(self.sets.dropDuplicates(["key"]), "key").groupBy("cell").applyInPandas(
+        bits = self.sets.select("key", "bits").dropDuplicates(["key"])
+        rows = cells.select("cell", "key", "label", "n", "pos", "guest", "block").join(bits, "key")
+        kept = self.ws.save(rows.groupBy("cell").applyInPandas(_with_partner, rows.drop("bits").schema), "leaf_members")
+        out = kept.join(self.sets.select("key", "numbers").dropDuplicates(["key"]), "key").groupBy("cell").applyInPandas(
             _leaf(DENSE), "a long, b long, common long, total long")
         return self.ws.save(out.distinct(), "leaf_verified")
 
@@ -345,13 +391,21 @@ def _allowed(f: pd.DataFrame, rows: slice) -> np.ndarray:
     """Which pairs of the given rows with all rows may link, and would unite two components."""
     n, left, label = f["n"].to_numpy(np.int64), (f["n"] - f["pos"]).to_numpy(np.int64), f["label"].to_numpy()
     guest = f["guest"].to_numpy()  # one bit for each round that brought a row as a guest
+    block, cell = f["block"].to_numpy(), f["cell"].iloc[0]
     ok = 7 * np.minimum(left[rows, None], left[None]) >= 3 * (n[rows, None] + n[None])
     ok &= 4 * np.minimum(n[rows, None], n[None]) >= 3 * np.maximum(n[rows, None], n[None])
+    if cell["i"] != cell["j"]:
+        ok &= block[rows, None] != block[None]  # pairs of one block meet in the cell of that block alone
     return ok & (label[rows, None] != label[None]) & (guest[rows, None] & guest[None] == 0)
 
 
 def _with_partner(f: pd.DataFrame) -> pd.DataFrame:
-    return f[np.concatenate([_allowed(f, slice(k, k + 500)).any(1) for k in range(0, len(f), 500)])]
+    partner = np.zeros(len(f), bool)
+    for k in range(0, len(f), 500):
+        i, j = np.nonzero(np.triu(_allowed(f, slice(k, k + 500)), k + 1))
+        fits = _can_share(f, i + k, j)
+        partner[(i + k)[fits]] = partner[j[fits]] = True
+    return f[partner].drop(columns="bits")
 
 
 def _leaf(many: int):
@@ -387,7 +441,6 @@ def _leaf(many: int):
             found, times = np.unique(rows[i] * m + rows[i + step], return_counts=True)
             flat[found] += times
             flat[(found % m) * m + found // m] += times
-        linked = 100 * common >= 75 * (n[:, None] + n[None] - common)
         label = {v: v for v in f["label"]}
 
         def root(v):
@@ -398,7 +451,8 @@ def _leaf(many: int):
 
         of, out = f["label"].tolist(), []
         for k in range(0, m, 500):
-            i, j = np.nonzero(np.triu(linked[k:k + 500] & _allowed(f, slice(k, k + 500)), k + 1))
+            linked = 100 * common[k:k + 500] >= 75 * (n[k:k + 500, None] + n[None] - common[k:k + 500])
+            i, j = np.nonzero(np.triu(linked & _allowed(f, slice(k, k + 500)), k + 1))
             for x, y in zip((i + k).tolist(), j.tolist()):
                 u, v = root(of[x]), root(of[y])
                 if u != v:

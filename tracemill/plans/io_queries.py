@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,13 +16,13 @@ from tracemill.plans.model_queries import _FRAME_SPLIT_SQL, matrix
 from tracemill.plans.quality_queries import _ASSEMBLED_SQL
 from tracemill.plans.registry import query
 from tracemill.plans.view_queries import (
-    _AUDIT_SQL, _FEATURE_SQL, _SFT_SQL, _split_sql, audited, feature_input, trace_rows,
+    _AUDIT_SQL, _FEATURE_SQL, _LABELED_SQL, _SFT_SQL, _split_sql, audited, feature_input, labeled_rows, trace_rows,
 )
 from tracemill.schemas import INT, LONG, TEXT, struct
 from tracemill.settings import DEFAULTS
 from tracemill.sources import readers as r, writers as w
 from tracemill.sources.batches import BatchTable
-from tracemill.storage import scratch_path
+from tracemill.storage import materialize, scratch_path
 
 K = gate.KEY
 TALK = struct(conv_id=LONG, turn=LONG, role=TEXT, text=TEXT)
@@ -119,9 +121,36 @@ def sink_jsonl(spark, sf_dir):
     return r.scan_jsonl(spark, path, struct(doc_id=LONG, lang=TEXT, quality=INT))
 
 
-@query("sink_candidates", ACTIVITY_SQL + """
+_CANDIDATE_SQL = ACTIVITY_SQL + """
 SELECT repo_name, pr_number, coalesce(pr_title, '') AS pr_title, additions, deletions, changed_files,
-  issue_comment_events, first_seen_at FROM cand""")
+  issue_comment_events, first_seen_at FROM cand"""
+
+
+@query("sink_candidates_table", _CANDIDATE_SQL)
+def sink_candidates_table(spark, sf_dir):
+    """The table branch: buckets of (repo, number), read back by name."""
+    name = f"candidates_{uuid.uuid4().hex}"
+    rows = discovery.candidates(discovery.parse_activity(a.event_log(spark, sf_dir)), F.col("seq"))
+    w.sink_candidates(rows, table=name, table_path=scratch_path(spark, "candidates"))
+    return spark.table(name).select(
+        "repo_name", "pr_number", F.coalesce("pr_title", F.lit("")).alias("pr_title"), "additions", "deletions",
+        "changed_files", "issue_comment_events", "first_seen_at",
+    )
+
+
+@query("bucketed_join", _LABELED_SQL + """
+SELECT repo, pr_number, review_concern, split, CAST(in_matrix AS BIGINT) AS in_matrix FROM labeled""")
+def bucketed_join(spark, sf_dir):
+    """Labels and splits as tables in equal buckets; joining them moves no row."""
+    labelled = materialize(labeled_rows(spark, sf_dir), "labelled")
+    keys, name = ["repo", "pr_number"], uuid.uuid4().hex
+    labels = w.sink_bucketed(labelled.select(*keys, "review_concern"), f"labels_{name}", scratch_path(spark, "labels"), keys, 16)
+    split = w.sink_bucketed(
+        labelled.select(*keys, "split", F.col("in_matrix").cast("long").alias("in_matrix")), f"splits_{name}", scratch_path(spark, "splits"), keys, 16)
+    return labels.hint("merge").join(split, keys)
+
+
+@query("sink_candidates", _CANDIDATE_SQL)
 def sink_candidates(spark, sf_dir):
     path = scratch_path(spark, "candidates")
     rows = discovery.candidates(discovery.parse_activity(a.event_log(spark, sf_dir)), F.col("seq"))

@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.operators import boosting, features as ft, metrics as m, modeling as md, profiling, splits
+from tracemill.operators import boosting, browsing, features as ft, metrics as m, modeling as md, profiling, splits
 from tracemill.operators.linear import LinearModel
 from tracemill.plans import analogs as a
 from tracemill.plans.analogs import FRAME_SQL
@@ -349,13 +349,24 @@ def _serving(spark, sf_dir):
     )
 
 
-@query("browse_scored", FRAME_SQL + """
+_BROWSE_SQL = FRAME_SQL + """
 SELECT repo, pr_number, top_language, changed_files, diff_lines, source_patch_token_count_capped, s AS pred_probability,
   CAST(s >= 0.1 AS BIGINT) AS pred_label, review_concern, accepted_quality,
   CASE review_concern WHEN 1 THEN 'concern' ELSE 'no concern' END AS observed
 FROM sc WHERE model = 'length' AND review_concern = 1 AND accepted_quality = 0 AND top_language = 'en'
   AND (contains(lower(repo), 'src1') OR contains(lower(example_id), 'src1'))
-ORDER BY s DESC, repo, pr_number LIMIT 100""")
+ORDER BY s DESC, repo, pr_number LIMIT 100"""
+
+
+@query("browse_clustered", _BROWSE_SQL)
+def browse_clustered(spark, sf_dir):
+    """The same page from scores that are laid out for it, out of few files."""
+    path = scratch_path(spark, "scores")
+    browsing.sink_scores(_serving(spark, sf_dir), path, 16)
+    return browsing.browse_saved(spark, path, label="concern", quality="rejected", language="en", search=" SRC1 ").rows
+
+
+@query("browse_scored", _BROWSE_SQL)
 def browse_scored(spark, sf_dir):
     return md.browse_scored(
         _serving(spark, sf_dir), label="concern", quality="rejected", language="en", search=" SRC1 "

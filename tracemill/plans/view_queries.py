@@ -368,7 +368,7 @@ labeled AS (SELECT mrows.*, coalesce(split, 'excluded') AS split,
 """
 
 
-def _labeled(spark, sf_dir):
+def labeled_rows(spark, sf_dir):
     rows = a.judged(spark, sf_dir).select(
         F.col("repo_name").alias("repo"), "pr_number", gate.review_concern_label().alias("review_concern"),
         F.col("quality.accepted").alias("accepted"),
@@ -378,8 +378,8 @@ def _labeled(spark, sf_dir):
 
 @query("split_labeled", _LABELED_SQL + """
 SELECT repo, pr_number, review_concern, split, CAST(in_matrix AS BIGINT) AS in_matrix FROM labeled""")
-def split_labeled(spark, sf_dir):
-    return _labeled(spark, sf_dir).select(
+def splitlabeled_rows(spark, sf_dir):
+    return labeled_rows(spark, sf_dir).select(
         "repo", "pr_number", "review_concern", "split", F.col("in_matrix").cast("long").alias("in_matrix")
     )
 
@@ -390,7 +390,8 @@ SELECT coalesce(split, 'all') AS split, count(*) AS n_rows, count(DISTINCT repo)
   CAST(sum(accepted_quality) AS BIGINT) AS accepted_rows
 FROM labeled GROUP BY ROLLUP (split)""")
 def split_summary(spark, sf_dir):
-    return splits.split_summary(_labeled(spark, sf_dir), "review_concern", "accepted")
+    # Written once: the summary reads it for rows, labels and repositories.
+    return splits.split_summary(materialize(labeled_rows(spark, sf_dir), "labeled"), "review_concern", "accepted")
 
 
 _AUDIT_SQL = _ASSEMBLED_SQL + """,

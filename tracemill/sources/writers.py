@@ -27,13 +27,25 @@ def sink_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tu
     writer.csv(path)
 
 
-def sink_candidates(df: DataFrame, path: str | None = None, table: str | None = None) -> None:
-    """Candidates in (repo, number) order as CSV, or as a table."""
-    ordered = df.select(schemas.CANDIDATE.fieldNames()).orderBy("repo_name", "pr_number")
+def sink_candidates(df: DataFrame, path: str | None = None, table: str | None = None, table_path: str | None = None,
+                    buckets: int = 64) -> None:
+    """Candidates in (repo, number) order as CSV, or as a table in buckets of (repo, number)."""
+    rows = df.select(schemas.CANDIDATE.fieldNames())
     if table:
-        ordered.write.mode("overwrite").saveAsTable(table)
+        sink_bucketed(rows, table, table_path, ["repo_name", "pr_number"], buckets)
     if path:
-        sink_csv(ordered, path)
+        sink_csv(rows.orderBy("repo_name", "pr_number"), path)
+
+
+def sink_bucketed(df: DataFrame, table: str, path: str | None, keys: list[str], buckets: int) -> DataFrame:
+    """A table whose rows are dealt to buckets by ``keys``, one sorted file a bucket.
+
+    Tables with the same keys and buckets join and group by them without an
+    exchange, however large they are. Returns the table as read back.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, keys[0], *keys[1:]).sortBy(keys[0], *keys[1:])
+    (writer.option("path", path) if path else writer).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def sink_trace_parquet(traces: DataFrame, path: str) -> None:

@@ -90,6 +90,18 @@ def test_embedding_and_encoder(spark):
     assert {r["example_id"]: list(r["diff_emb"]) for r in out} == {"a": [5, 1], "b": [0, 1], "c": [0, 1]}
 
 
+def test_many_categories_get_a_bounded_number_of_columns(spark):
+    rows = spark.createDataFrame([(f"e{i}", "python", f"A{i % 30 if i > 40 else 0}") for i in range(200)] + [("n", None, None)],
+                                 "example_id string, top_language string, author_association string")
+    assert len(features.observed_associations(rows)) == 31
+    few = features.observed_associations(rows, 3)
+    assert list(few)[-1] is None and few[None] == "other" and "A0" in few and len(few) == 4
+    flagged, columns = features.one_hot(rows, few)
+    authors = [c for c in columns if c.startswith("author_")]
+    assert authors[-1] == "author_other" and len(authors) == 4
+    assert all(sum(r[c] for c in authors) == 1 for r in flagged.collect())
+
+
 def test_leakage_is_refused():
     features.leakage_check(features.NUMERIC_COLUMNS)
     with pytest.raises(ValueError):

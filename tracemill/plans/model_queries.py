@@ -259,21 +259,36 @@ def classification_report(spark, sf_dir):
     return report.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
 
 
+def _split_metrics(spark, sf_dir):
+    """Metrics of every model on the validation rows and on the test rows."""
+    split = split_frame(spark, sf_dir).select("example_id", "split")
+    scored = materialize(a.scored_frame(spark, sf_dir).join(split, "example_id"), "scored")
+    of = lambda side: m.binary_metrics(scored.filter(F.col("split") == side), F.lit(0.1), ("model",)).withColumns(
+        {c: F.round(c, 9) for c in _ROUNDED})
+    return of("val"), of("test")
+
+
 def _board(spark, sf_dir):
-    """Validation metrics of every model; the same columns stand in for the test split."""
-    found = _metrics(spark, sf_dir)
-    val = found.select("model", *[F.col(c).alias(f"val_{c}") for c in _ROUNDED])
-    test = found.select("model", *[F.col(c).alias(f"test_{c}") for c in ("roc_auc", "macro_f1")])
-    return val, test
+    """Validation metrics of every model, and the test metrics that the winner is shown with."""
+    val, test = _split_metrics(spark, sf_dir)
+    return val.select("model", *[F.col(c).alias(f"val_{c}") for c in _ROUNDED]), test.select(
+        "model", *[F.col(c).alias(f"test_{c}") for c in ("roc_auc", "macro_f1")])
+
+
+def _met_sql(side: str) -> str:
+    return f"met_{side} AS (WITH sc AS (SELECT * FROM base WHERE split = '{side}')" + _METRIC_SQL + "SELECT * FROM met)"
 
 
-_BOARD_SQL = FRAME_SQL + _METRIC_SQL + """,
+_BOARD_SQL = _FRAME_SPLIT_SQL + f""",
+base AS (SELECT sc.*, smap.split FROM sc JOIN smap USING (repo)),
+{_met_sql("val")},
+{_met_sql("test")},
 board AS (SELECT model, roc_auc AS val_roc_auc, average_precision AS val_average_precision, brier AS val_brier,
     round(macro_f1, 9) AS val_macro_f1, round(positive_f1, 9) AS val_positive_f1,
     round(balanced_accuracy, 9) AS val_balanced_accuracy,
-    row_number() OVER (ORDER BY roc_auc DESC, macro_f1 DESC, model) AS place FROM met),
-led AS (SELECT * EXCLUDE (place), CASE WHEN place = 1 THEN val_roc_auc END AS test_roc_auc,
-    CASE WHEN place = 1 THEN val_macro_f1 END AS test_macro_f1 FROM board)
+    row_number() OVER (ORDER BY roc_auc DESC, macro_f1 DESC, model) AS place FROM met_val),
+led AS (SELECT board.* EXCLUDE (place), CASE WHEN place = 1 THEN t.roc_auc END AS test_roc_auc,
+    CASE WHEN place = 1 THEN round(t.macro_f1, 9) END AS test_macro_f1 FROM board JOIN met_test t USING (model))
 """
 
 
@@ -307,11 +322,11 @@ def metric_melt(spark, sf_dir):
     return m.metric_melt(_board(spark, sf_dir)[0], _MELTED)
 
 
-@query("scorecard", FRAME_SQL + _METRIC_SQL + """,
+@query("scorecard", _BOARD_SQL + """,
 x AS (SELECT (SELECT count(*) FROM frame WHERE accepted_quality = 1)::DOUBLE AS acc,
   (SELECT count(DISTINCT repo) FROM frame)::DOUBLE AS repos,
-  (SELECT roc_auc FROM met WHERE model = 'length') AS auc, (SELECT round(macro_f1, 9) FROM met WHERE model = 'length') AS f1,
-  (SELECT round(macro_f1, 9) FROM met WHERE model = 'constant') AS base, (SELECT count(*) FROM frame)::DOUBLE AS rows_),
+  (SELECT roc_auc FROM met_test WHERE model = 'length') AS auc, (SELECT round(macro_f1, 9) FROM met_test WHERE model = 'length') AS f1,
+  (SELECT round(macro_f1, 9) FROM met_test WHERE model = 'constant') AS base, (SELECT count(*) FROM frame)::DOUBLE AS rows_),
 u AS (
   SELECT 'curated_volume' AS criterion, '>= 5000 rows' AS target, acc AS measured,
     acc >= 5000 AS ok, 'enough accepted rows to train on' AS interpretation FROM x UNION ALL
@@ -325,7 +340,8 @@ u AS (
     'there are scored rows to look at' FROM x)
 SELECT criterion, target, measured, CASE WHEN ok THEN 'pass' ELSE 'fail' END AS status, interpretation FROM u""")
 def scorecard(spark, sf_dir):
-    found = _metrics(spark, sf_dir)
+    """Criteria on the test rows, volumes on all."""
+    _, found = _split_metrics(spark, sf_dir)
     pick = lambda model, c: F.max(F.when(F.col("model") == model, F.col(c)))
     frame = a.labelled_frame(spark, sf_dir)
     of_frame = lambda e: frame.agg(e.alias("v")).scalar()

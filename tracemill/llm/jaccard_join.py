@@ -48,8 +48,9 @@ from tracemill.storage import Workspace
 SHARED_BY = 32       # a shingle at the head of more texts than this comes late in the order
 LATE_AT_MOST = 1 << 16  # shingles moved to the end of the order, the most shared first (they are broadcast)
 SMALL = 32           # a region of at most so many members names all its pairs
-LEAF = 2500          # members of a block of a region that is left
-PAIRS = 1 << 16      # pairs whose signatures are compared at once
+LEAF = 2000          # members of a block of a region that is left
+PAIRS = 1 << 14      # pairs whose signatures are compared at once
+TALL = 200           # members that are compared with all others of a cell at once
 DENSE = 48           # members from which a shingle of a cell is counted by products
 MAP_BITS = 1 << 24   # of the map of wanted texts (2 MB)
 ROUNDS = 2           # recursive divisions of large regions
@@ -401,8 +402,8 @@ def _allowed(f: pd.DataFrame, rows: slice) -> np.ndarray:
 
 def _with_partner(f: pd.DataFrame) -> pd.DataFrame:
     partner = np.zeros(len(f), bool)
-    for k in range(0, len(f), 500):
-        i, j = np.nonzero(np.triu(_allowed(f, slice(k, k + 500)), k + 1))
+    for k in range(0, len(f), TALL):
+        i, j = np.nonzero(np.triu(_allowed(f, slice(k, k + TALL)), k + 1))
         fits = _can_share(f, i + k, j)
         partner[(i + k)[fits]] = partner[j[fits]] = True
     return f[partner].drop(columns="bits")
@@ -427,11 +428,12 @@ def _leaf(many: int):
         rank = np.cumsum(dense) - 1
         picked = dense[column]
         rows, columns = owner[picked], rank[column[picked]]
-        for at in range(0, int(dense.sum()), 4096):
-            inside = (columns >= at) & (columns < at + 4096)
-            x = np.zeros((m, 4096), np.float32)
+        for at in range(0, int(dense.sum()), 1024):
+            inside = (columns >= at) & (columns < at + 1024)
+            x = np.zeros((m, 1024), np.float32)
             x[rows[inside], columns[inside] - at] = 1
-            common += x @ x.T
+            for k in range(0, m, TALL):
+                common[k:k + TALL] += x[k:k + TALL] @ x.T
         rows, columns = owner[~picked], column[~picked]
         flat = common.ravel()
         for step in range(1, many):
@@ -450,9 +452,9 @@ def _leaf(many: int):
             return v
 
         of, out = f["label"].tolist(), []
-        for k in range(0, m, 500):
-            linked = 100 * common[k:k + 500] >= 75 * (n[k:k + 500, None] + n[None] - common[k:k + 500])
-            i, j = np.nonzero(np.triu(linked & _allowed(f, slice(k, k + 500)), k + 1))
+        for k in range(0, m, TALL):
+            linked = 175 * common[k:k + TALL] >= 75 * (n[k:k + TALL, None] + n[None])
+            i, j = np.nonzero(np.triu(linked & _allowed(f, slice(k, k + TALL)), k + 1))
             for x, y in zip((i + k).tolist(), j.tolist()):
                 u, v = root(of[x]), root(of[y])
                 if u != v:

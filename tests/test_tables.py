@@ -157,3 +157,15 @@ def test_finalize_from_json_lines(spark, tmp_path):
     assert len(chat) == good and chat[0]["messages"][1]["content"].startswith("PR title:\nt")
     assert "PR description:\nNone" in chat[0]["messages"][1]["content"]
     assert chat[0]["messages"][2]["content"].startswith("File: a.py\nComment: this")
+
+
+def test_nested_rows_come_in_partitions_of_few_requests(spark, monkeypatch):
+    from tracemill.plans import analogs as a
+
+    sf_dir = "/root/testdata/sf0.001"
+    monkeypatch.setattr(a, "REQUESTS_TOGETHER", 100)
+    parts = a.request_parts(spark, sf_dir)
+    assert parts == -(-a.table(spark, sf_dir, "orders").count() // 100)
+    for child in a.children(spark, sf_dir):
+        assert child.rows.rdd.getNumPartitions() == parts
+    assert a.counts(spark, sf_dir).rdd.getNumPartitions() == parts

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -159,6 +160,23 @@ def test_finalize_from_json_lines(spark, tmp_path):
     assert chat[0]["messages"][2]["content"].startswith("File: a.py\nComment: this")
 
 
+def test_rows_of_a_large_repository_are_dealt_out(spark, monkeypatch):
+    """Same splits as without; no task gets the rows of the large repository together."""
+    rows = spark.createDataFrame([("big" if i % 2 else f"r{i % 40}", i, 1) for i in range(2000)] + [(None, -1, 1)], "repo string, n long, label int")
+    plain = {(r["repo"], r["n"], r["split"]) for r in splits.split_labeled(rows, "label").collect()}
+    monkeypatch.setattr(splits, "LARGE_REPO", 500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = splits.split_labeled(rows, "label")
+        places = Counter(r["p"] for r in found.withColumn("p", F.spark_partition_id()).collect() if r["repo"] == "big")
+        assert {(r["repo"], r["n"], r["split"]) for r in found.collect()} == plain and found.columns == splits.split_labeled(rows, "label").columns
+        assert len(places) > 1 and max(places.values()) < 600
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_nested_rows_come_in_partitions_of_few_requests(spark, monkeypatch):
     from tracemill.plans import analogs as a
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
+
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -89,3 +92,12 @@ def test_scores_follow_from_the_saved_numbers_in_sql(spark, tmp_path):
           FROM cells JOIN n USING (position) GROUP BY id)
         SELECT max(abs(s - score)), count(*) FROM s JOIN '{tmp_path}/scores/*.parquet' ON id = example_id""").fetchone()
     assert worst[1] == 300 and worst[0] < 1e-6
+
+
+def test_blocks_are_bounded_and_sums_come_once(spark):
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([[float(i), 1.0] for i in range(2500)]), pa.array(np.ones(2500)), pa.array(np.ones(2500))], names=["x", "y", "weight"])
+    blocks = [pickle.loads(b.column("block")[0].as_py()) for b in linear._blocks(iter([batch]))]
+    assert [len(b[0]) for b in blocks] == [1024, 1024, 452]
+    total, = linear._summed(spark.sparkContext.parallelize(blocks, 5), lambda b: (b[0].sum(axis=0),))
+    assert total.tolist() == [2500 * 2499 / 2, 2500.0]

@@ -99,3 +99,14 @@ def test_source_patch_text(spark):
     row = spark.createDataFrame([(files,)], "files array<struct<filename:string,patch:string>>")
     got = row.select(traces.source_patch_text(F.col("files")).alias("t")).first()["t"]
     assert got == "diff -- a.py\np1\ndiff -- e.go\np3"
+
+
+def test_meaningful_comment_is_told_by_its_head_as_by_the_whole(spark):
+    pads = ["", " ", " \n", " " * 29, "\t" * 31, " " * 59, " " * 60, "\xa0" * 61, " " * 200]
+    cores = ["", "ok", "LGTM", "x" * 29, "x" * 30, "İ" * 14, "İ" * 15, "İ" * 29, "Σ" * 30, "a" + " " * 27 + "b",
+             "a" + " " * 28 + "b", "a" + " " * 100 + "b", "\U0001f600" * 29, "\U0001f600" * 30, "y" * 500]
+    bodies = [None, *(p + c + q for p in pads for c in cores for q in ("", " \n", " " * 70))]
+    whole = lambda body: F.coalesce(
+        (F.length(F.lower(text.strip(body))) >= 30) & ~F.lower(text.strip(body)).isin(text.TRIVIAL_PHRASES), F.lit(False))
+    assert evaluate(spark, bodies, text.is_meaningful_comment) == evaluate(spark, bodies, whole)
+    assert max(map(len, text.TRIVIAL_PHRASES)) < text.MEANINGFUL_LENGTH

@@ -134,3 +134,27 @@ def test_trace_blocks(nested):
     row = trace.filter("pr_number = 0").first()
     assert row["example_id"] == "o__r__pull_0" and row["issue"]["author"] is None and row["issue"]["comments"] == []
     assert len(row["code_diff"]["files"]) == 3 and row["pr"]["author"]["login"] == "dev"
+
+
+def test_child_rows_move_as_flags_and_languages_are_counted(spark):
+    key = "repo_name string, pr_number long, "
+    files = [("r", 1, "a.py", "+"), ("r", 1, "a.py", "+"), ("r", 1, "b.PY", None), ("r", 1, "c.h", ""), ("r", 1, None, "+"),
+             ("r", 2, "docs/x.md", "+"), ("r", 2, "", "+"), ("r", None, "a.go", "+"), (None, 2, "a.go", "+"), (None, 2, "a.cs", "+")]
+    long = "x" * 30
+    counts = gate.child_counts(
+        spark.createDataFrame(files, key + "filename string, patch string"),
+        spark.createDataFrame([("r", 1, "approved"), ("r", 3, None), ("r", 3, "COMMENTED")], key + "state string"),
+        spark.createDataFrame([("r", 1, long), ("r", 1, long), ("r", 2, None)], key + "body string"),
+        spark.createDataFrame([("r", 1), ("r", 4)], key.rstrip(", ")), parts=5, languages=True)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and counts.rdd.getNumPartitions() == 5
+    dealt = counts._jdf.queryExecution().optimizedPlan().children().head()
+    assert dealt.output().size() == len(gate.KEY) + 1
+    got = {(r["repo_name"], r["pr_number"]): {c: n for c, n in r.asDict().items() if c not in gate.KEY and n} for r in counts.collect()}
+    named = {"file_count": 5, "named_count": 4, "source_file_count": 4, "source_patch_count": 2, "python_files": 3, "c/c++_files": 1}
+    assert got["r", 1] == {**named, "review_count": 1, "approved_count": 1, "review_comment_count": 2, "meaningful_count": 2, "discussion_count": 1}
+    assert got["r", 2] == {"file_count": 2, "named_count": 1, "doc_count": 1, "review_comment_count": 1}
+    assert got["r", 3] == {"review_count": 2, "commented_exact": 1, "commented_count": 1} and got["r", 4] == {"discussion_count": 1}
+    one = {"file_count": 1, "named_count": 1, "source_file_count": 1, "source_patch_count": 1, "go_files": 1}
+    assert got["r", None] == one and len(got) == 6
+    assert got[None, 2] == {**{c: 2 * n for c, n in one.items() if c != "go_files"}, "go_files": 1, "c#_files": 1}

@@ -69,3 +69,22 @@ def test_disjoint_and_missing_measures(spark):
     got = {r["measure"]: r for r in drift.distances(counts, counts.limit(0)).collect()}
     assert abs(got["language"]["js_distance"] - 1) < 1e-12 and got["size"]["js_distance"] == 0
     assert drift.distances(counts.filter("release = 'a'")).count() == 0
+
+
+def test_histograms_are_made_once_for_both_sides_of_a_comparison(spark):
+    frame, counts = releases(spark, [("a", "x", 1), ("b", "x", 2), ("c", None, 9)])
+    found = drift.distances(counts)
+    assert "Generate" in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 4
+    weighted = drift.histograms(frame, F.col("release"), {"language": F.col("language")}, weight=F.col("size"))
+    assert {tuple(r) for r in weighted.collect()} == {("a", "language", "x", 1), ("b", "language", "x", 2), ("c", "language", "(none)", 9)}
+
+
+def test_release_distances_reads_the_files_of_requests_once(spark, monkeypatch):
+    from tracemill.plans import analogs, profile_queries
+
+    read, table = [], analogs.table
+    monkeypatch.setattr(analogs, "table", lambda spark, sf_dir, name: read.append(name) or table(spark, sf_dir, name))
+    assert profile_queries.release_distances(spark, "/root/testdata/sf0.001").count() > 0
+    assert read.count("lineitem") == 1

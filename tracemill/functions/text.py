@@ -45,9 +45,14 @@ def is_bot_login(login: Column) -> Column:
 
 
 def is_meaningful_comment(body: Column) -> Column:
-    """Long enough after trimming and lower-casing, and no stock phrase."""
+    """Long enough after trimming and lower-casing, and no stock phrase.
+
+    Stock phrases are shorter and lower-casing drops no character, so a long
+    text is mostly told by its head; only what the head leaves open is read whole.
+    """
     text = F.lower(strip(body))
-    return F.coalesce((F.length(text) >= MEANINGFUL_LENGTH) & ~text.isin(TRIVIAL_PHRASES), F.lit(False))
+    whole = F.coalesce((F.length(text) >= MEANINGFUL_LENGTH) & ~text.isin(TRIVIAL_PHRASES), F.lit(False))
+    return F.when(F.length(strip(F.substring(body, 1, 2 * MEANINGFUL_LENGTH))) >= MEANINGFUL_LENGTH, True).otherwise(whole)
 
 
 def linked_issue_number(title: Column, body: Column) -> Column:

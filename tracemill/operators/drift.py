@@ -14,17 +14,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracemill.storage import materialize
+
 # Usual limits of the stability index.
 MODERATE = 0.1
 STRONG = 0.25
 
 
-def histograms(rows: DataFrame, release: Column, measures: dict[str, Column]) -> DataFrame:
-    """``(release, measure, bucket, n)``; null is the bucket ``(none)``."""
+def histograms(rows: DataFrame, release: Column, measures: dict[str, Column], weight: Column | None = None) -> DataFrame:
+    """``(release, measure, bucket, n)``; null is the bucket ``(none)``. A row counts once, or as often as ``weight`` says."""
+    weight = F.lit(1).cast("long") if weight is None else weight
     cells = F.explode(F.array(*(
         F.struct(F.lit(m).alias("measure"), F.coalesce(e.cast("string"), F.lit("(none)")).alias("bucket")) for m, e in measures.items())))
-    return rows.select(release.alias("release"), cells.alias("c")).filter("release is not null").groupBy(
-        "release", "c.measure", "c.bucket").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(release.alias("release"), weight.alias("weight"), cells.alias("c")).filter("release is not null").groupBy(
+        "release", "c.measure", "c.bucket").agg(F.sum("weight").alias("n"))
 
 
 def size_bucket(value: Column) -> Column:
@@ -33,8 +36,11 @@ def size_bucket(value: Column) -> Column:
 
 
 def distances(*parts: DataFrame) -> DataFrame:
-    """``(release, previous, measure, psi, js_distance, alarm)`` for every release but the first."""
-    counts = reduce(DataFrame.unionByName, parts)
+    """``(release, previous, measure, psi, js_distance, alarm)`` for every release but the first.
+
+    The counts are written once, since a release is compared both with the one before and with the one after.
+    """
+    counts = materialize(reduce(DataFrame.unionByName, parts), "histograms")
     # One row per release.
     order = counts.select("release").distinct().withColumn("previous", F.lag("release").over(Window.orderBy("release")))
     pairs = order.filter("previous is not null")

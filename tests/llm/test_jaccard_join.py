@@ -109,6 +109,22 @@ def test_large_regions_are_joined_recursively(docs, monkeypatch):
     assert run(docs, rows) == brute(rows)
 
 
+def test_sets_are_moved_in_slices(docs, monkeypatch):
+    """Pairs bring at most as many numbers along at once as all kept sets have, and the late shingles stay bounded."""
+    kept, real = [], jaccard_join.Workspace.save
+
+    def save(self, df, name, *more):
+        kept.append(name)
+        return real(self, df, name, *more)
+
+    monkeypatch.setattr(jaccard_join.Workspace, "save", save)
+    for name, value in (("SMALL", 2), ("LATE_AT_MOST", 2), ("SHARED_BY", 3), ("MOVED", 1), ("ROUNDS", 1), ("LEAF", 7), ("DENSE", 3)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rows = corpus(7, groups=10, copies=12)
+    assert run(docs, rows) == brute(rows)
+    assert {"round0_verified1", "leaf_members1", "leaf_verified1"} <= set(kept)
+
+
 def test_guests_of_different_rounds_meet(docs, monkeypatch):
     """Pairs whose only meeting place is a ring where both came as guests, in different rounds.
 

@@ -24,6 +24,9 @@ when d <= 1/4, that is 100 * common >= 75 * union.
   which bounds what they can share. Only members that this leaves a partner
   bring their sets.
 
+Pairs and cells bring sets along in slices, each of which moves about as much
+as all kept sets: the room on disk stays a multiple of the texts.
+
 Equal sets are one member throughout. The result is the class of each text,
 so links inside one component need not be listed.
 
@@ -46,7 +49,8 @@ from tracemill.llm.shingles import set_key, shingle_set
 from tracemill.storage import Workspace
 
 SHARED_BY = 32       # a shingle at the head of more texts than this comes late in the order
-LATE_AT_MOST = 1 << 16  # shingles moved to the end of the order, the most shared first (they are broadcast)
+LATE_AT_MOST = 1 << 22  # shingles moved to the end of the order, the most shared first (32 MB, sent to the executors)
+MOVED = 1 << 24      # numbers of sets that may be moved at once (128 MB), or as many as all kept sets have
 SMALL = 32           # a region of at most so many members names all its pairs
 LEAF = 2000          # members of a block of a region that is left
 PAIRS = 1 << 14      # pairs whose signatures are compared at once
@@ -249,8 +253,14 @@ class JaccardJoin:
         """At most LATE_AT_MOST numbers, sorted."""
         counted = (
             self.docs.select("text").mapInArrow(_heads, "s long, c long").groupBy("s").agg(F.sum("c").alias("c"))
-            .filter(F.col("c") > SHARED_BY).orderBy(F.desc("c"), "s").limit(LATE_AT_MOST))
-        return np.sort(np.array([r["s"] for r in self.ws.save(counted.select("s"), "late").collect()], np.int64))
+            .filter(F.col("c") > SHARED_BY))
+        late = self.ws.save(counted, "late")
+        if late.count() > LATE_AT_MOST:
+            late = late.orderBy(F.desc("c"), "s").limit(LATE_AT_MOST)
+        # As Arrow columns: a Row for each number would take ten times the memory.
+        numbers = np.sort(late.select("s").toArrow().column("s").to_numpy().astype(np.int64))
+        self.ws.drop("late")
+        return numbers
 
     def keep_sets(self, keys: DataFrame) -> None:
         """Writes the whole sets of the given keys, for all later comparisons."""
@@ -258,22 +268,43 @@ class JaccardJoin:
         # A bit map of fixed size spares the texts that no pair can want; the
         # joins with it are exact, so a bit set by chance costs a text and no more.
         bit = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS))
-        words = np.zeros(MAP_BITS // 64, np.uint64)
-        for r in wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
-                F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect():
+        words, self.numbers = np.zeros(MAP_BITS // 64, np.uint64), 0
+        for r in wanted.select(bit.alias("bit"), "n").groupBy(F.shiftright("bit", 6).alias("word")).agg(
+                F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"),
+                F.sum(F.col("n").cast("long")).alias("numbers")).collect():
             words[r["word"]] = np.int64(r["bits"]).view(np.uint64)
+            self.numbers += r["numbers"]
         self.sets = self.ws.save(
             self.docs.filter("id is not null").select(bit.alias("bit"), "text").mapInArrow(
                 _sets(words), "key long, numbers array<long>, bits binary"), "sets")
 
+    def in_slices(self, moved: int, rows: DataFrame, by: list[str], do, name: str) -> DataFrame:
+        """``do`` over the rows, slice after slice: what a slice has moved is gone before the next one.
+
+        ``moved`` is how many numbers all rows bring along. One slice moves about
+        as many as the kept sets have, so disk does not grow with the pairs.
+        """
+        slices = max(1, -(-moved // max(self.numbers, MOVED)))
+        of = F.pmod(F.xxhash64(F.lit("slice"), *by), F.lit(slices))  # not the hash that deals out blocks
+        return reduce(DataFrame.unionByName, [
+            self.ws.save(do(rows.filter(of == k) if slices > 1 else rows), f"{name}{k}") for k in range(slices)])
+
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """(a, b, common, total) of each distinct pair, from the whole sets."""
         common = F.size(F.array_intersect("x", "y"))
-        return self.ws.save(
-            pairs.distinct().join(self.sets.select(F.col("key").alias("a"), F.col("numbers").alias("x")), "a")
-            .join(self.sets.select(F.col("key").alias("b"), F.col("numbers").alias("y")), "b")
-            .select("a", "b", common.cast("long").alias("common"), (F.size("x") + F.size("y")).cast("long").alias("total"))
-            .distinct(), f"{name}_verified")
+        pairs = self.ws.save(pairs.distinct(), f"{name}_distinct")
+        moved = _total(pairs.join(self.readers.select(F.col("key").alias("a"), "n"), "a"), F.col("n"))
+
+        def compared(some: DataFrame) -> DataFrame:
+            return (
+                some.join(self.sets.select(F.col("key").alias("a"), F.col("numbers").alias("x")), "a")
+                .join(self.sets.select(F.col("key").alias("b"), F.col("numbers").alias("y")), "b")
+                .select("a", "b", common.cast("long").alias("common"), (F.size("x") + F.size("y")).cast("long").alias("total"))
+                .distinct())
+
+        out = self.in_slices(moved, pairs, ["a", "b"], compared, f"{name}_verified")
+        self.ws.drop(f"{name}_distinct")
+        return out
 
     def small_pairs(self, found: DataFrame, members: DataFrame) -> DataFrame:
         """Pairs of small regions that their heads allow to link.
@@ -380,12 +411,20 @@ class JaccardJoin:
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         cells = dealt.withColumn("other", other).withColumn("cell", F.struct(
             "region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-        bits = self.sets.select("key", "bits").dropDuplicates(["key"])
-        rows = cells.select("cell", "key", "label", "n", "pos", "guest", "block").join(bits, "key")
-        kept = self.ws.save(rows.groupBy("cell").applyInPandas(_with_partner, rows.drop("bits").schema), "leaf_members")
-        out = kept.join(self.sets.select("key", "numbers").dropDuplicates(["key"]), "key").groupBy("cell").applyInPandas(
-            _leaf(DENSE), "a long, b long, common long, total long")
-        return self.ws.save(out.distinct(), "leaf_verified")
+        rows = cells.select("cell", "key", "label", "n", "pos", "guest", "block")
+        bits, sets = (self.sets.select("key", c).dropDuplicates(["key"]) for c in ("bits", "numbers"))
+        # A signature has at most a sixteenth of the room of its set.
+        kept = self.in_slices(
+            _total(dealt, F.col("n") * F.col("blocks")) // 16, rows, ["cell"],
+            lambda some: some.join(bits, "key").groupBy("cell").applyInPandas(_with_partner, rows.schema), "leaf_members")
+        return self.in_slices(
+            _total(kept, F.col("n")), kept, ["cell"],
+            lambda some: some.join(sets, "key").groupBy("cell").applyInPandas(
+                _leaf(DENSE), "a long, b long, common long, total long").distinct(), "leaf_verified")
+
+
+def _total(rows: DataFrame, size) -> int:
+    return rows.agg(F.sum(size.cast("long")).alias("total")).collect()[0]["total"] or 0
 
 
 def _allowed(f: pd.DataFrame, rows: slice) -> np.ndarray:
